@@ -1 +1,9 @@
 """Link prediction on relationship graphs, expressed as Spark jobs."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run inside tasks travel with their code, so executors need not
+# have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

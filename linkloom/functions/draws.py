@@ -40,6 +40,12 @@ def normal(seed: int, *keys: Column) -> Column:
     return radius * F.cos(F.lit(2.0 * math.pi) * _unit(digest, 9))
 
 
+def draws(seed: int, n: int, *keys: Column) -> Column:
+    """``n`` uniforms as an array; one digest serves four of them."""
+    digests = [_digest(seed, (*keys, F.lit(block))) for block in range(-(-n // 4))]
+    return F.array(*[_unit(digests[i // 4], 8 * (i % 4) + 1) for i in range(n)])
+
+
 def driver_draw(seed: int, *keys) -> float:
     """The same uniform for driver-held values such as model weights."""
     text = ":".join([*map(str, keys), str(seed)])

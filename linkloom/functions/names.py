@@ -12,10 +12,10 @@ LEGAL_ENDINGS = (
     "ltda", "nv", "oy", "oyj", "plc", "pte", "pty", "sa", "sarl", "srl", "spa",
 )
 
-ENDING_PATTERN = "(?i)([ ,]+(" + "|".join(LEGAL_ENDINGS) + ")[.]?)+[ ,]*$"
+# Any run of endings, then blanks and commas, up to the end of the name.
+ENDING_PATTERN = "(?i)([ ,]+(" + "|".join(LEGAL_ENDINGS) + ")[.]?)*[ ,]*$"
 
 
 def base_name(name: Column) -> Column:
     """The name without trailing legal-entity words, blanks and commas."""
-    bare = F.regexp_replace(F.trim(name), ENDING_PATTERN, "")
-    return F.regexp_replace(bare, "[ ,]+$", "")
+    return F.regexp_replace(F.trim(name), ENDING_PATTERN, "")

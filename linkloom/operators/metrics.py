@@ -53,15 +53,18 @@ def _fold_metrics(counted: DataFrame, group: list[str]) -> DataFrame:
 
 
 def batch_metrics(scores: DataFrame, group: list[str]) -> DataFrame:
-    """``auc`` and ``ap`` for groups bounded by the batch size."""
+    """``auc`` and ``ap`` for groups bounded by the batch size.
+
+    Rows move once, by group; counts, windows and the fold all use that placement.
+    """
     below = (
         Window.partitionBy(*group)
         .orderBy("score")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     whole = Window.partitionBy(*group)
-    counted = _score_counts(scores, group)
-    counted = counted.select(
+    placed = scores.select(*group, "label", "score").repartition(*group)
+    counted = _score_counts(placed, group).select(
         "*",
         *[F.coalesce(F.sum(c).over(below), F.lit(0)).alias(f"{c}_before") for c in ("pos", "neg")],
         F.sum("pos").over(whole).alias("_p"),

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.functions.vectors import add, linear, relu, zeros
+from linkloom.functions.vectors import affine, linear, zeros
 from linkloom.model import SageLayer, SageModel
 from linkloom.operators.graph import parallel_counts
 from linkloom.session import materialise
@@ -42,7 +42,7 @@ def neighbour_max(
 
 def pool_transform(nodes: DataFrame, weight: np.ndarray, bias: np.ndarray) -> DataFrame:
     """The non-linear map applied to every node before pooling."""
-    return nodes.withColumn("x", relu(linear(F.col("x"), weight, bias)))
+    return nodes.withColumn("x", linear(F.col("x"), weight, bias, activate=True))
 
 
 def neighbour_pool(
@@ -76,11 +76,11 @@ def sage_layer(
     fold = neighbour_max if layer.kind == "pool" else neighbour_mean
     folded = fold(gathered, [*keys, "dst"], width).withColumnRenamed("dst", "id")
 
-    own = linear(F.col("x"), layer.self_, layer.bias)
-    seen = F.coalesce(F.col("agg"), zeros(width))
-    out = add(own, seen if before else linear(seen, layer.neigh))
-    h = relu(out) if activate else out
-    return nodes.join(folded, [*keys, "id"], "left").select(*keys, "id", h.alias("x"))
+    both = nodes.join(folded, [*keys, "id"], "left").withColumn(
+        "agg", F.coalesce("agg", zeros(width))
+    )
+    terms = [(F.col("x"), layer.self_), (F.col("agg"), None if before else layer.neigh)]
+    return both.select(*keys, "id", affine(terms, layer.bias, activate).alias("x"))
 
 
 def embed_all(

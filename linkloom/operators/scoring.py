@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.functions.vectors import dot, sigmoid, vector_literal
+from linkloom.functions.vectors import dot, linear, sigmoid
 from linkloom.model import SageModel
 
 
@@ -16,21 +17,18 @@ def endpoint_pairs(edges: DataFrame, embeddings: DataFrame) -> DataFrame:
     return edges.join(u, "src").join(v, "dst")
 
 
-def dot_link_score(edges: DataFrame, embeddings: DataFrame) -> DataFrame:
+def dot_link_score(edges: DataFrame, embeddings: DataFrame, width: int) -> DataFrame:
     """Edges with ``score``, the sigmoid of the endpoints' inner product."""
     scored = endpoint_pairs(edges, embeddings)
-    return scored.withColumn("score", sigmoid(dot(F.col("h_u"), F.col("h_v")))).drop("h_u", "h_v")
+    product = dot(F.col("h_u"), F.col("h_v"), width)
+    return scored.withColumn("score", sigmoid(product)).drop("h_u", "h_v")
 
 
 def endpoint_scores(embeddings: DataFrame, model: SageModel, keys: tuple[str, ...] = ()) -> DataFrame:
     """Each node's share of a link score as source and as destination."""
     w_u, w_v, _ = model.head
-    return embeddings.select(
-        *keys,
-        "id",
-        dot(F.col("x"), vector_literal(w_u)).alias("as_src"),
-        dot(F.col("x"), vector_literal(w_v)).alias("as_dst"),
-    )
+    both = embeddings.select(*keys, "id", linear(F.col("x"), np.stack([w_u, w_v])).alias("s"))
+    return both.select(*keys, "id", F.col("s")[0].alias("as_src"), F.col("s")[1].alias("as_dst"))
 
 
 def mlp_link_score(

@@ -20,7 +20,7 @@ from linkloom.functions.draws import draw
 from linkloom.model import SageModel, drawn_model
 from linkloom.operators.graph import build_edges, count_nodes, node_features
 from linkloom.operators.ordering import assign_batches, positional_index, split_edges
-from linkloom.session import materialise, scratch_path
+from linkloom.session import materialise, scratch_path, spread
 from linkloom.streaming.jobs import silver_rows
 
 # Fixed values shared with the comparison SQL.
@@ -56,8 +56,7 @@ def relations(spark: SparkSession, sf: str) -> DataFrame:
     customer = table(spark, sf, "customer")
     shift = customer.agg(F.max("c_custkey")).first()[0] + 1
     return (
-        table(spark, sf, "lineitem")
-        .select(*KEYS)
+        spread(table(spark, sf, "lineitem").select(*KEYS))
         .join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))

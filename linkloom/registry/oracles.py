@@ -15,7 +15,7 @@ from linkloom.registry.fixtures import FEATURE_SEED, KEYS, MODEL_SEED, RUN, WIDT
 K = ", ".join(KEYS)
 BRONZE = f"{K}, src_id, dst_id, Purchaser, Seller"
 ENDINGS = "[' LLC', ', Ltd.', ' Inc', '']"
-PATTERN = "([ ,]+(" + "|".join(LEGAL_ENDINGS) + ")[.]?)+[ ,]*$"
+PATTERN = "([ ,]+(" + "|".join(LEGAL_ENDINGS) + ")[.]?)*[ ,]*$"
 
 
 def digest(seed: int, *keys: str) -> str:
@@ -40,7 +40,7 @@ def r6(e: str) -> str:
 
 
 def base(e: str) -> str:
-    return f"regexp_replace(regexp_replace(trim({e}), '{PATTERN}', '', 'i'), '[ ,]+$', '')"
+    return f"regexp_replace(trim({e}), '{PATTERN}', '', 'i')"
 
 
 def sigmoid(e: str) -> str:
@@ -248,7 +248,8 @@ def neighbour_pieces(name: str, seeds: str, slots: str, layer: int, fanout: int
     columns = []
     for i in range(fanout):
         last = f"(degree - {fanout - i})"
-        t = f"floor({draw(RUN.seed, str(layer), 'batch_id', 'dst', str(i))} * ({last} + 1))::BIGINT"
+        u = unit(digest(RUN.seed, str(layer), "batch_id", "dst", str(i // 4)), 8 * (i % 4) + 1)
+        t = f"floor({u} * ({last} + 1))::BIGINT"
         columns.append(f"{t} AS t{i}")
         taken = ", ".join(f"c{j}" for j in range(i))
         columns.append(f"CASE WHEN t{i} IN ({taken}) THEN {last} ELSE t{i} END AS c{i}" if i else "t0 AS c0")

@@ -237,7 +237,7 @@ def dot(spark, sf):
     """Squared norms and products with the reversed vector."""
     v = F.col("v")
     return _vectors(spark, sf).select(
-        "vec_id", r6(V.dot(v, v)).alias("norm2"), r6(V.dot(v, F.reverse(v))).alias("folded")
+        "vec_id", r6(V.dot(v, v, 64)).alias("norm2"), r6(V.dot(v, F.reverse(v), 64)).alias("folded")
     )
 
 
@@ -496,7 +496,7 @@ def mlp_link_score(spark, sf):
 
 @query
 def dot_link_score(spark, sf):
-    scored = scoring.dot_link_score(fx.edges(spark, sf), fx.node_x(spark, sf))
+    scored = scoring.dot_link_score(fx.edges(spark, sf), fx.node_x(spark, sf), fx.WIDTHS[0])
     return scored.select("eid", r6(F.col("score")).alias("score"))
 
 
@@ -534,7 +534,7 @@ def first_slice(spark, sf):
         sage.sage_layer(graph.parallel_counts(edges), x, fx.model().first, True), "hidden"
     )
     named = silver.withColumn("src", F.col("src_id")).withColumn("dst", F.col("dst_id"))
-    scored = scoring.dot_link_score(named, h).withColumnRenamed("score", "gnn_prediction")
+    scored = scoring.dot_link_score(named, h, fx.WIDTHS[1]).withColumnRenamed("score", "gnn_prediction")
     refined = refine.refine_probability(scored)
     return refined.select(
         *KEYS, "src_id", "dst_id", "Purchaser", "Seller", r6(F.col("probability")).alias("probability")
@@ -705,7 +705,10 @@ def evaluate(spark, sf):
     """Both held-out splits with fixed weights."""
     x = fx.node_x(spark, sf)
     scores = {
-        s: ev.forward(_batches(spark, sf, s), x, fx.model()) for s in ("validation", "testing")
+        s: ev.packed_forward(
+            pack_batches(_batches(spark, sf, s), x, fx.RUN, False), fx.model(), fx.RUN.fanouts
+        )
+        for s in ("validation", "testing")
     }
     return ev.evaluate(scores).transform(rounded, "mean_auc", "mean_ap")
 

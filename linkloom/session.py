@@ -15,6 +15,7 @@ def build_session(cores: str = "*", partitions: int = 8, **conf: str) -> SparkSe
         .appName("linkloom")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
@@ -47,6 +48,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/linkloom/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Redistribute rows read from fewer files than there are cores; else as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def materialise(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
