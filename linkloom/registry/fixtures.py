@@ -91,7 +91,7 @@ def edges(spark: SparkSession, sf: str) -> DataFrame:
     """``(eid, src, dst, split)`` of the silver relations."""
 
     def build():
-        placed = materialise(build_edges(silver(spark, sf), KEYS), "edges")
+        placed = build_edges(silver(spark, sf), KEYS)
         labelled = split_edges(placed, placed.count(), RUN.test_p, RUN.valid_p)
         return materialise(labelled, "split_edges", ("split",))
 
