@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from collections.abc import Mapping
+from dataclasses import dataclass, fields, replace
+
+_RENAMED = {"num_epochs": "max_steps"}
 
 
 @dataclass(frozen=True)
@@ -28,6 +31,18 @@ class Params:
     strict_negatives: bool = False
     seed: int = 7
 
+    @classmethod
+    def from_mapping(cls, values: Mapping) -> Params:
+        """Parameters from a flat mapping such as a parsed configuration file.
+
+        ``num_epochs`` is the number of steps; keys of devices, workers, classes
+        and databases have no meaning here and are passed over.
+        """
+        renamed = {_RENAMED.get(k, k): v for k, v in values.items()}
+        known = {f.name: f.type for f in fields(cls)}
+        casts = {"int": int, "float": float}
+        return cls(**{k: casts.get(known[k], lambda x: x)(v) for k, v in renamed.items() if k in known})
+
     def with_changes(self, **changes) -> Params:
         return replace(self, **changes)
 

@@ -13,7 +13,7 @@ from linkloom.functions.names import base_name
 from linkloom.operators import graph, metrics, ordering, recommend, refine, sage, sampling, scoring
 from linkloom.operators.distribution import score_box, score_histogram
 from linkloom.plans import evaluate as ev
-from linkloom.plans import search
+from linkloom.plans import job, search
 from linkloom.plans.batches import edge_batches, pack_batches
 from linkloom.plans.gold import score_relations, stored_embeddings
 from linkloom.plans.train import metric_rows, train, train_head
@@ -732,6 +732,14 @@ def train_model(spark, sf):
     return metric_rows(spark, "run", train(packed, params)).transform(rounded, "value")
 
 
+@query
+def train_and_evaluate(spark, sf):
+    """The untuned run from silver relations to the evaluation of both held-out splits."""
+    params = fx.RUN.with_changes(num_node_features=15, num_hidden_graph_layers=20)
+    run = job.train_and_evaluate(fx.silver(spark, sf), KEYS, params, scratch_path(spark, "run"))
+    return run.evaluation.transform(rounded, "mean_auc", "mean_ap")
+
+
 @query
 def train_link_head(spark, sf):
     """The classifier fitted to all edges and as many corruptions, on fixed embeddings."""

@@ -41,14 +41,22 @@ def evolve_schema(spark: SparkSession, sample: str, location: str) -> T.StructTy
 
 
 def read_landing_stream(
-    spark: SparkSession, path: str, schema_location: str, sample: str | None = None
+    spark: SparkSession,
+    path: str,
+    schema_location: str,
+    sample: str | None = None,
+    max_files: int | None = None,
 ) -> DataFrame:
     """Incremental scan of the JSON files under ``path``.
 
     The schema is inferred once and remembered; ``sample`` names the files to
-    look at, so a large landing zone need not be read for it.
+    look at, so a large landing zone need not be read for it. ``max_files``
+    cuts a backlog into several micro-batches.
     """
     _, schema = stored_schema(spark, schema_location)
     if schema is None or sample is not None:
         schema = evolve_schema(spark, sample or path, schema_location)
-    return spark.readStream.schema(schema).json(path)
+    reader = spark.readStream.schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.json(path)

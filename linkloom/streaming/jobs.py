@@ -45,9 +45,10 @@ def bronze_stream(
     path: str | None = None,
     table: str | None = None,
     sample: str | None = None,
+    max_files: int | None = None,
 ) -> StreamingQuery:
     """Landing JSON to bronze; name ``sample`` files to pick up new columns."""
-    rows = read_landing_stream(spark, landing, schema_location, sample)
+    rows = read_landing_stream(spark, landing, schema_location, sample, max_files)
     return append_stream(rows, checkpoint, path, table)
 
 

@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from oracle_compare import connect, differences
 
 SF = "/root/testdata/sf0.001"
-SLOW = {"train_model", "train_link_head", "run_trials", "embedding_projection"}
+SLOW = {"train_model", "train_and_evaluate", "train_link_head", "run_trials", "embedding_projection"}
 
 
 @pytest.fixture(scope="module")

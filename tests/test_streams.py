@@ -35,6 +35,13 @@ def test_restart_adds_only_new_files(spark, tmp_path):
     assert sorted(r["src_id"] for r in bronze(spark, tmp_path).collect()) == [1, 2, 3]
 
 
+def test_backlog_can_be_cut_into_batches(spark, tmp_path):
+    for i in range(3):
+        land(tmp_path / "in", f"{i}.json", [link(i)])
+    assert bronze(spark, tmp_path, max_files=1).count() == 3
+    assert len(list((tmp_path / "ck_b" / "commits").glob("[0-9]*"))) == 3
+
+
 def test_new_column_and_bad_line_survive(spark, tmp_path):
     land(tmp_path / "in", "a.json", [link(1)])
     bronze(spark, tmp_path)
