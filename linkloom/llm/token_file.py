@@ -152,7 +152,7 @@ def write_token_files(
             for part in pieces([len(t) for t in texts]):
                 if writer is None:
                     system.create_dir(root, recursive=True)
-                    out = system.open_output_stream(f"{root}/{name}")
+                    out = system.open_output_stream(f"{root}/{name}", compression=None)
                     writer = TokenWriter(out, bits, block)
                 for doc_id, found in zip(ids[part], stream.ids(texts[part])):
                     writer.add(doc_id, np.append(found, np.uint32(end_id)))

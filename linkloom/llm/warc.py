@@ -179,7 +179,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataF
             for page, url, html, first in zip(ids, urls, binaries(batch.column(2)), refers):
                 if out is None:
                     system.create_dir(root, recursive=True)
-                    out = system.open_output_stream(f"{root}/{name}")
+                    out = system.open_output_stream(f"{root}/{name}", compression=None)
                     info = b"software: linkloom\r\nformat: WARC File Format 1.1\r\n"
                     fields = [("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:x-archive:{name}>")]
                     fields += [("WARC-Date", DATE), ("Content-Type", "application/warc-fields")]
