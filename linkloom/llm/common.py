@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import uuid
 from collections.abc import Callable, Iterator
@@ -138,6 +139,7 @@ def worker_cache(name: str) -> dict:
 
 def load_tokenizer(path: str):
     """The tokenizer of a file, loaded once per worker; unused truncation and padding are off."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark spreads the work
     from tokenizers import Tokenizer
 
     cache = worker_cache("tokenizers")

@@ -10,8 +10,8 @@ A set links to another only if ``percent`` of its shingles occur in other sets.
    links to an indexed one isn't indexed itself, so copies cost a number of links in
    proportion to their group;
 3. the same count over components instead of sets leaves the sets that could still link to
-   another component. All such pairs sharing a token of their rarest-first prefix are checked
-   exactly, so no link between components is lost.
+   another component. They are packed into blocks, and all pairs of blocks that share a token
+   of a prefix are searched the same way, so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -356,9 +356,105 @@ def _labelled(sets: DataFrame, found: DataFrame) -> DataFrame:
     return sets.join(named, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
 
 
-def _between_components(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Links between sets of different components that share a token of their prefixes."""
-    labelled = _labelled(sets.select("set_id", "n", "shingles"), found)
+PACKED = (
+    "block long, part long, high_size long, high_component binary, "
+    "names binary, components binary, sizes binary, shingles binary"
+)
+
+
+def _pack(laid: DataFrame) -> DataFrame:
+    """Sets in their order as rows of a block, of at most BLOCK_SETS sets or about BLOCK_SHINGLES / 8 shingles.
+
+    ``laid`` has a number ``part``, which a block never crosses.
+    """
+    def run(batches):
+        first, n_blocks, rows, held = TaskContext.get().partitionId() << 32, 0, [], 0
+
+        def out():
+            parts, names, sizes, components, shingles = zip(*rows)
+            row = [first + n_blocks, parts[0], *max(zip(sizes, components)), b"".join(names), b"".join(components)]
+            row += [np.array([len(s) // 8 for s in shingles], np.int64).tobytes(), b"".join(shingles)]
+            kinds = [*[pa.int64()] * 3, *[pa.binary()] * 5]
+            columns = [pa.array([v], k) for v, k in zip(row, kinds)]
+            return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in PACKED.split(", ")])
+
+        for batch in batches:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if rows and (row[0] != rows[0][0] or len(rows) >= BLOCK_SETS or held >= BLOCK_SHINGLES // 8):
+                    yield out()
+                    n_blocks, rows, held = n_blocks + 1, [], 0
+                rows.append(row)
+                held += len(row[4]) // 8
+        if rows:
+            yield out()
+
+    return laid.select("part", "set_id", "size", "component", "shingles").mapInArrow(run, PACKED)
+
+
+def _prefix_tokens(shingles: bytes, percent: int) -> np.ndarray:
+    tokens = np.frombuffer(shingles, np.int64)
+    return tokens[: len(tokens) - least_overlap(len(tokens), percent) + 1]
+
+
+class _Block:
+    def __init__(self, names: bytes, components: bytes, sizes: bytes, shingles: bytes):
+        self.names = [names[i : i + 16] for i in range(0, len(names), 16)]
+        self.components = [components[i : i + 16] for i in range(0, len(components), 16)]
+        self.sizes = np.frombuffer(sizes, np.int64)
+        flat = np.frombuffer(shingles, np.uint64)
+        self.sets = np.split(flat, np.cumsum(self.sizes)[:-1])
+
+    def index(self):
+        """Distinct tokens, where each one's list begins (one entry more), and the lists."""
+        doc = np.repeat(np.arange(len(self.sets)), self.sizes)
+        flat = np.concatenate(self.sets)
+        order = np.lexsort((doc, flat))
+        tokens, starts = np.unique(flat[order], return_index=True)
+        return tokens, np.append(starts, len(flat)), doc[order]
+
+
+def search_pair(queries: _Block, indexed: _Block, percent: int) -> list[tuple[bytes, bytes]]:
+    """A link from each query to every other component in the indexed block that it links to.
+
+    DivideSkip on arrays: the short lists of a query are merged, what they hold often enough is
+    probed by binary search in the long ones.
+    """
+    tokens, starts, lists = indexed.index()
+    links = []
+    for name, component, shingles in zip(queries.names, queries.components, queries.sets):
+        n, least = len(shingles), least_overlap(len(shingles), percent)
+        at = np.searchsorted(tokens, shingles)
+        at = at[np.take(tokens, at, mode="clip") == shingles]
+        if len(at) < least:
+            continue
+        lengths = starts[at + 1] - starts[at]
+        at = at[np.argsort(-lengths, kind="stable")]
+        n_long = min(least - 1, int(least / (MU * math.log2(int(lengths.max()) + 1) + 1)))
+        merged = np.concatenate([lists[starts[k] : starts[k + 1]] for k in at[n_long:]])
+        counts = np.bincount(merged, minlength=len(indexed.sets))
+        found = np.flatnonzero(counts >= least - n_long)
+        overlap = counts[found]
+        for k in at[:n_long] if len(found) else ():
+            held = lists[starts[k] : starts[k + 1]]
+            overlap = overlap + (np.take(held, np.searchsorted(held, found), mode="clip") == found)
+        seen = {component}
+        for d, both in zip(found.tolist(), overlap.tolist()):
+            other = indexed.components[d]
+            if other not in seen and 100 * both >= percent * (n + int(indexed.sizes[d]) - both):
+                seen.add(other)
+                links.append((name, indexed.names[d]))
+    return links
+
+
+def _between_components(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame | None:
+    """Links between components, at least one wherever two are linked; None if there can't be any.
+
+    Sets that could link elsewhere are packed into blocks, small components apart from large
+    ones. A set is searched for in the blocks that hold a token of its prefix in one of theirs
+    and a component after its own; prefixes are the first ``n - least + 1`` tokens by hash, of
+    which two linked sets always share one.
+    """
+    labelled = _labelled(sets.select("set_id", "n", "k0", "shingles"), found)
     total = labelled.agg(F.sum("n")).first()[0] or 0
 
     def sets_of(batch):
@@ -369,50 +465,53 @@ def _between_components(sets: DataFrame, found: DataFrame, percent: int) -> Data
     left = materialise(labelled.join(open_sets, "set_id", "left_semi"), "open_sets")
     if left.isEmpty():
         return None
+    ranks = left.groupBy("component").agg(F.count("*").alias("size"), F.min("k0").alias("key"))
+    left = left.join(materialise(ranks, "ranks"), "component")
+    by = [F.col("size") > 1, "key", "size", "component", "set_id"]
+    laid = left.withColumn("part", F.lit(0).cast("long")).repartitionByRange(*by).sortWithinPartitions(*by)
+    blocks = materialise(_pack(laid), "blocks")
 
-    def explode(batches):
+    def block_tokens(batches):
         for batch in batches:
-            for name, n, shingles, c in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                tokens = np.frombuffer(shingles, np.int64)
+            for block, size, component, sizes, shingles in zip(*(c.to_pylist() for c in batch.columns)):
+                ends = 8 * np.cumsum(np.frombuffer(sizes, np.int64))
+                cut = [_prefix_tokens(shingles[b:e], percent) for b, e in zip(np.append(0, ends[:-1]), ends)]
+                tokens = np.unique(np.concatenate(cut))
                 k = len(tokens)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(tokens), *(pa.array([v] * k, t) for v, t in ((name, pa.binary()), (n, pa.int64()), (c, pa.binary())))],
-                    ["token", "set_id", "n", "component"],
-                )
-
-    columns = left.select("set_id", "n", "shingles", "component")
-    tokens = materialise(columns.mapInArrow(explode, "token long, set_id binary, n long, component binary"), "tokens")
-    spread = tokens.groupBy("token").agg(
-        F.count("*").alias("df"), F.min("component").alias("_low"), F.max("component").alias("_high")
-    )
-    crossing = materialise(spread.filter("_low <> _high").select("token", "df"), "crossing")
-    held = tokens.join(crossing, "token").groupBy("set_id", "n", "component")
-    held = held.agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("held"))
-    size, least = F.size("held"), F.expr(f"cast(ceil({percent} * n / 100.0) as int)")
-    prefix = held.filter(size >= least).select(
-        "set_id", "n", "component", F.explode(F.slice("held", 1, size - least + 1)).alias("t")
-    )
-    prefix = materialise(prefix.select("set_id", "n", "component", "t.token"), "prefix")
-    columns = ("set_id", "n", "component")
-    a, b = (prefix.select("token", *(F.col(c).alias(f"{x}_{c}") for c in columns)) for x in "ab")
-    near = (F.col("a_n") * 100 >= F.col("b_n") * percent) & (F.col("b_n") * 100 >= F.col("a_n") * percent)
-    pairs = a.join(b, "token").filter((F.col("a_component") < F.col("b_component")) & near)
-    pairs = materialise(pairs.select(F.col("a_set_id").alias("a"), F.col("b_set_id").alias("b")).distinct(), "pairs")
-
-    def verify(batches):
-        for batch in batches:
-            rows = []
-            for x, y, p, q in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-                overlap = len(np.intersect1d(p, q, assume_unique=True))
-                if 100 * overlap >= percent * (len(p) + len(q) - overlap):
-                    rows.append((x, y))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*rows)], ["a", "b"])
+                columns = [pa.array(tokens), pa.array([block] * k), pa.array([size] * k), pa.array([component] * k, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["token", "block", "high_size", "high_component"])
 
-    own = left.select("set_id", "shingles")
-    both = pairs.join(own.toDF("a", "p"), "a").join(own.toDF("b", "q"), "b").select("a", "b", "p", "q")
-    return both.mapInArrow(verify, "a binary, b binary")
+    def set_tokens(batches):
+        for batch in batches:
+            for name, size, component, shingles in zip(*(c.to_pylist() for c in batch.columns)):
+                tokens = _prefix_tokens(shingles, percent)
+                k = len(tokens)
+                columns = [pa.array(tokens), pa.array([name] * k, pa.binary()), pa.array([size] * k), pa.array([component] * k, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["token", "set_id", "size", "component"])
+
+    held = blocks.select("block", "high_size", "high_component", "sizes", "shingles")
+    held = held.mapInArrow(block_tokens, "token long, block long, high_size long, high_component binary")
+    asked = left.select("set_id", "size", "component", "shingles")
+    asked = asked.mapInArrow(set_tokens, "token long, set_id binary, size long, component binary")
+    same = F.col("size") == F.col("high_size")
+    smaller = (F.col("size") < F.col("high_size")) | (same & (F.col("component") < F.col("high_component")))
+    routed = asked.join(held, "token").filter(smaller).select("set_id", F.col("block").alias("part")).distinct()
+    routed = materialise(routed, "routed")
+    queries = routed.join(left.select("set_id", "size", "component", "shingles"), "set_id")
+    queries = _pack(queries.repartitionByRange("part", "set_id").sortWithinPartitions("part", "set_id"))
+
+    def search(batches):
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                links = search_pair(_Block(*row[:4]), _Block(*row[4:]), percent)
+                if links:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*links)], ["a", "b"])
+
+    parts = ("names", "components", "sizes", "shingles")
+    q = queries.select("part", *(F.col(c).alias(f"q_{c}") for c in parts))
+    i = blocks.select(F.col("block").alias("part"), *(F.col(c).alias(f"i_{c}") for c in parts))
+    both = materialise(q, "queries").join(i, "part").select(*(f"{x}_{c}" for x in "qi" for c in parts))
+    return both.mapInArrow(search, "a binary, b binary")
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:

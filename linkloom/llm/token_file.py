@@ -40,13 +40,18 @@ def pack(ids: np.ndarray, bits: int) -> bytes:
     if len(ids) and int(ids.max()) >> bits:
         raise ValueError(f"an id needs more than {bits} bits")
     wide = np.ascontiguousarray(ids, "<u4").view(np.uint8).reshape(-1, 4)
+    if bits % 8 == 0:  # whole bytes need no shifting
+        return wide[:, : bits // 8].tobytes()
     return np.packbits(np.unpackbits(wide, axis=1, count=bits, bitorder="little"), bitorder="little").tobytes()
 
 
 def unpack(data: bytes, bits: int, count: int) -> np.ndarray:
+    out = np.zeros((count, 4), np.uint8)
+    if bits % 8 == 0:
+        out[:, : bits // 8] = np.frombuffer(data, np.uint8, count * bits // 8).reshape(count, -1)
+        return out.view("<u4").ravel()
     flat = np.unpackbits(np.frombuffer(data, np.uint8), count=count * bits, bitorder="little")
     narrow = np.packbits(flat.reshape(count, bits), axis=1, bitorder="little")
-    out = np.zeros((count, 4), np.uint8)
     out[:, : narrow.shape[1]] = narrow
     return out.view("<u4").ravel()
 

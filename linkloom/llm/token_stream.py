@@ -2,19 +2,27 @@
 
 A single space between two characters that aren't white space is a safe place to cut for a
 byte-level pre-tokenizer: none of its patterns crosses it. Texts are cut there, chunks seen
-before are looked up, and the library encodes the others.
+before are looked up. New chunks of plain Latin text are cut on by the pre-tokenizer's own
+pattern, and the library's model encodes each new part; all else goes to the library whole.
 """
 
 from __future__ import annotations
 
+import json
 import re
 
 import numpy as np
+import regex
 
 from linkloom.llm.common import load_tokenizer, worker_cache
+from linkloom.llm.prefix_bpe import byte_letters
 
-#: Chunks remembered per worker; all are forgotten when it is full.
-REMEMBERED = 700_000
+#: Chunks, and parts of them, remembered per worker; all are forgotten when it is full.
+REMEMBERED, REMEMBERED_PARTS = 700_000, 400_000
+# Fixed value: the pattern of the byte-level pre-tokenizer.
+_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_MARKS = frozenset(".,;:!?")
+_LETTERS = dict(enumerate(byte_letters()))
 _UNSAFE = re.compile(r"\s\s|^\s|\s$| [\x1c-\x1f\x85]|[\x1c-\x1f\x85] ")
 
 
@@ -23,7 +31,11 @@ class TokenStream:
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
-        self.known = worker_cache(f"chunks:{path}")
+        self.known, self.parts = worker_cache(f"chunks:{path}"), worker_cache(f"parts:{path}")
+        pre = json.loads(self.tokenizer.to_str())
+        kind, plain = pre["pre_tokenizer"] or {}, not (pre["normalizer"] or pre["post_processor"])
+        if not plain or (kind.get("type"), kind.get("use_regex"), kind.get("add_prefix_space")) != ("ByteLevel", True, False):
+            raise ValueError("only plain byte-level tokenizers are covered")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def whole(self, text: str) -> bytes:
@@ -53,9 +65,25 @@ class TokenStream:
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
             new = list(wanted)
-        for i in range(0, len(new), 2000):
-            part = new[i : i + 2000]
-            found = self.tokenizer.encode_batch_fast([" " + c for c in part], add_special_tokens=False)
-            self.known.update(
-                (c, np.array(e.ids, np.uint32).tobytes()) for c, e in zip(part, found)
-            )
+        for chunk in new:
+            self.known[chunk] = self._chunk(chunk)
+
+    def _chunk(self, chunk: str) -> bytes:
+        """Ids of a chunk with the space before it."""
+        if not chunk.isascii() and max(chunk) > "\u024f":
+            return self.whole(" " + chunk)
+        if chunk.isalpha():
+            return self._part(" " + chunk)
+        if chunk[-1] in _MARKS and chunk[:-1].isalpha():
+            return self._part(" " + chunk[:-1]) + self._part(chunk[-1])
+        return b"".join(map(self._part, _PARTS.findall(" " + chunk)))
+
+    def _part(self, part: str) -> bytes:
+        found = self.parts.get(part)
+        if found is None:
+            if len(self.parts) >= REMEMBERED_PARTS:
+                self.parts.clear()
+            letters = part.encode().decode("latin-1").translate(_LETTERS)
+            found = np.array([t.id for t in self.tokenizer.model.tokenize(letters)], np.uint32).tobytes()
+            self.parts[part] = found
+        return found
