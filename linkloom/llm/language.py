@@ -23,7 +23,7 @@ UNKNOWN, SMOOTHING = "und", 0.05
 #: Longer runs of letters are scored in parts of so many.
 PART = 40
 #: Words remembered per worker; all are forgotten when it is full.
-REMEMBERED = 500_000
+REMEMBERED = 900_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -41,6 +41,15 @@ def vocabulary(path: str) -> dict[str, int]:
     return cache[path]
 
 
+def prefixes(vocab: dict[str, int]) -> dict[str, int]:
+    """Every beginning of a piece: the piece's number, or -1 where it is none itself."""
+    cache = worker_cache("prefixes")
+    if cache.get("of") is not vocab:
+        starts = {name[:k]: -1 for name in vocab for k in range(1, len(name))}
+        cache.update(of=vocab, starts=starts | vocab)
+    return cache["starts"]
+
+
 def words_of(text: str) -> list[str]:
     """Runs of letters in lower case; each is cut alone, as pieces don't cross words."""
     words = _WORD.findall(text.lower())
@@ -53,7 +62,8 @@ class Lattice:
     """All cuts of some words: an edge for each piece at each place."""
 
     def __init__(self, words: list[str], vocab: dict[str, int], longest: int):
-        word, start, end, piece, base, at, get, none = [], [], [], [], [], 0, vocab.get, len(vocab)
+        word, start, end, piece, base, at, none = [], [], [], [], [], 0, len(vocab)
+        get = prefixes(vocab).get
         for k, w in enumerate(words):
             w = "▁" + w
             n = len(w)
@@ -64,7 +74,9 @@ class Lattice:
                     word.append(k), start.append(i), end.append(i + 1), piece.append(none)
                 for j in range(i + 1, min(n, i + longest) + 1):
                     p = get(w[i:j])
-                    if p is not None:
+                    if p is None:  # no piece begins like this
+                        break
+                    if p >= 0:
                         word.append(k), start.append(i), end.append(j), piece.append(p)
         self.base, self.size = np.array(base, np.int64), at
         self.lengths = np.array([len(w) + 1 for w in words], np.int64)
@@ -144,7 +156,7 @@ def count_pieces(docs: DataFrame, path: str) -> DataFrame:
             for text, lang in zip(strings(batch.column(0)), batch.column(1).to_pylist()):
                 texts_seen[lang] += 1
                 held.setdefault(lang, Counter()).update(words_of(text))
-                if sum(map(len, held.values())) > 200_000:
+                if sum(map(len, held.values())) > 600_000:
                     settle()
         settle()
         for lang, n in texts_seen.items():

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from linkloom.llm.common import load_tokenizer, map_texts, pieces, strings, table, worker_cache
 
 #: Words remembered per worker; all are forgotten when it is full.
-REMEMBERED = 500_000
+REMEMBERED = 900_000
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 

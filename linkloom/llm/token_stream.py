@@ -18,7 +18,7 @@ from linkloom.llm.common import load_tokenizer, worker_cache
 from linkloom.llm.prefix_bpe import byte_letters
 
 #: Chunks, and parts of them, remembered per worker; all are forgotten when it is full.
-REMEMBERED, REMEMBERED_PARTS = 700_000, 400_000
+REMEMBERED, REMEMBERED_PARTS = 1_000_000, 700_000
 # Fixed value: the pattern of the byte-level pre-tokenizer.
 _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _MARKS = frozenset(".,;:!?")
