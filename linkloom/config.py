@@ -40,13 +40,21 @@ class Params:
         """
         renamed = {_RENAMED.get(k, k): v for k, v in values.items()}
         known = {f.name: f.type for f in fields(cls)}
-        casts = {"int": int, "float": float}
+        casts = {"int": int, "float": float, "bool": _truth}
         return cls(**{k: casts.get(known[k], lambda x: x)(v) for k, v in renamed.items() if k in known})
 
     def with_changes(self, **changes) -> Params:
         return replace(self, **changes)
 
 
+def _truth(value: object) -> bool:
+    """A switch from a configuration file, where it may be text."""
+    text = str(value).strip().lower()
+    if text not in ("true", "false", "1", "0"):
+        raise ValueError(f"not a switch: {value!r}")
+    return text in ("true", "1")
+
+
 # The tuned parameters documented for the published run.
 TUNED = Params(
     optimiser="SGD",

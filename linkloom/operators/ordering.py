@@ -74,7 +74,10 @@ def running_totals(
         .filter("_nth > 1")
         .drop("_nth")
     )
-    summed = placed.join(F.broadcast(carried), ["_chunk", *group], "left")
+    keys = ["_chunk", *group]
+    carried = carried.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]  # a null group is a group
+    summed = placed.join(F.broadcast(carried), same, "left").drop(*[f"_of_{k}" for k in keys])
     for v in values:
         local = F.coalesce(F.sum(v).over(inside), F.lit(0))
         summed = summed.withColumn(f"{v}_before", local + F.coalesce(f"_carry_{v}", F.lit(0)))

@@ -10,16 +10,32 @@ from pyspark.sql import types as T
 
 
 def merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:
-    """All old fields as they are, then the fields only the new schema has."""
-    known = set(old.fieldNames())
-    return T.StructType([*old.fields, *[f for f in new.fields if f.name not in known]])
+    """The old fields, widened where the new type holds more, then fields only the new schema has."""
+    seen, known = {f.name: f for f in new.fields}, set(old.fieldNames())
+    widened = [f if f.name not in seen else _wider(f, seen[f.name]) for f in old.fields]
+    return T.StructType([*widened, *[f for f in new.fields if f.name not in known]])
+
+
+def _wider(old: T.StructField, new: T.StructField) -> T.StructField:
+    """Whole numbers become fractions, structs merge; all other differences become text."""
+    a, b = old.dataType, new.dataType
+    kinds = {type(a), type(b)}
+    if a == b or isinstance(b, T.NullType):
+        return old
+    if kinds == {T.LongType, T.DoubleType}:
+        return T.StructField(old.name, T.DoubleType(), True)
+    if kinds == {T.StructType}:
+        return T.StructField(old.name, merge_schemas(a, b), True)
+    return T.StructField(old.name, b if isinstance(a, T.NullType) else T.StringType(), True)
 
 
 def stored_schema(spark: SparkSession, location: str) -> tuple[int, T.StructType | None]:
     """The latest remembered schema and its version, or ``(-1, None)``."""
     try:
         rows = spark.read.text(location).orderBy("version", ascending=False).limit(1).collect()
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":  # a denied or damaged place isn't a new one
+            raise
         return -1, None
     if not rows:
         return -1, None
@@ -34,7 +50,7 @@ def evolve_schema(spark: SparkSession, sample: str, location: str) -> T.StructTy
     version, old = stored_schema(spark, location)
     seen = spark.read.json(sample).schema
     merged = seen if old is None else merge_schemas(old, seen)
-    if merged != old:
+    if merged != old and merged.fields:  # an empty first file tells nothing
         text = spark.createDataFrame([(merged.json(),)], "value string")
         text.write.mode("overwrite").text(f"{location}/version={version + 1}")
     return merged

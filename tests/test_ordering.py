@@ -79,3 +79,9 @@ def test_quartiles_and_outlying_points(spark, rows):
 def test_histogram_keeps_one_in_the_last_bin(rows):
     bins = score_histogram(rows("v string", [("0",), ("0.5",), ("1",)]), "v", 2).collect()
     assert {r["bin"]: (r["n"], r["density"]) for r in bins} == {0: (1, 2 / 3), 1: (2, 4 / 3)}
+
+
+def test_running_totals_of_a_null_group(rows):
+    df = rows("g string, k long, n long", [(None if i % 2 else "a", i, 1) for i in range(40)])
+    found = ordering.running_totals(df, ["g"], [F.col("k")], ["n"]).collect()
+    assert all(r.n_before == r.k // 2 for r in found)
