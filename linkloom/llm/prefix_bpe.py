@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from linkloom.llm.common import load_tokenizer, map_texts, pieces, strings, table, worker_cache
 
-#: Words remembered per worker; all are forgotten when it is full.
-REMEMBERED = 900_000
+#: Words, and chunks between spaces, remembered per worker; all are forgotten when it is full.
+REMEMBERED, REMEMBERED_CHUNKS = 500_000, 600_000
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
@@ -137,6 +137,20 @@ class PrefixBPE:
         return self.encode_symbols(symbols)
 
 
+class _Chunks(dict):
+    """Ids and decoded text of chunks; what is missing is encoded and remembered."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, chunk: str) -> tuple[bytes, str]:
+        if len(self) >= REMEMBERED_CHUNKS:
+            self.clear()
+        found = self[chunk] = self.encode(chunk)
+        return found
+
+
 class WordEncoder:
     """Ids and decoded text as the tokenizers library gives them, word by word through a cache."""
 
@@ -147,10 +161,11 @@ class WordEncoder:
                 self._check(described := json.load(f))
             special = [t["content"] for t in described["added_tokens"]]
             cache.update(
-                bpe=PrefixBPE(described["model"]), ids={}, text={}, special=special,
+                bpe=PrefixBPE(described["model"]), words={}, chunks=_Chunks(None), special=special,
                 special_id={t["content"]: t["id"] for t in described["added_tokens"]},
             )
-        self.bpe, self.ids, self.text = cache["bpe"], cache["ids"], cache["text"]
+        self.bpe, self.known, self.chunks = cache["bpe"], cache["words"], cache["chunks"]
+        self.chunks.encode = self._chunk
         self.special, self.special_id = cache["special"], cache["special_id"]
         self.library = load_tokenizer(path)
         self.cut = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
@@ -171,35 +186,31 @@ class WordEncoder:
             return text.lower()
         return self.library.normalizer.normalize_str(text)
 
-    def words(self, text: str) -> list[str]:
-        """Words in order; the strings of special tokens stay as they are."""
-        if not any(s in text for s in self.special):
-            return self.cut.findall(self.normal(text))
-        out = []
-        for k, part in enumerate(self.at_special.split(text)):
-            out += [part] if k % 2 else self.cut.findall(self.normal(part))
-        return out
+    def encode(self, text: str) -> tuple[bytes, str]:
+        """Ids of a whole text and their decoded text; the strings of special tokens stay as they are.
 
-    def learn(self, words: set[str]) -> None:
-        new = words - self.ids.keys()
-        if len(self.ids) + len(new) > REMEMBERED:
-            self.ids.clear(), self.text.clear()
-            new = words
-        for word in new:
-            if word in self.special_id:
-                ids, names = [self.special_id[word]], [word]
+        No word crosses a space, so the normal text is cut there and chunks are looked up.
+        """
+        found = []
+        for k, part in enumerate(self.at_special.split(text) if any(s in text for s in self.special) else [text]):
+            if k % 2:
+                found.append((np.uint32(self.special_id[part]).astype("<u4").tobytes(), part))
             else:
-                tokens = self.bpe.encode_word(word.encode())
-                kept = [t for t in tokens if self.bpe.id[t] >= 0]
-                ids, names = [self.bpe.id[t] for t in kept], [self.bpe.names[t] for t in kept]
-            self.ids[word] = np.array(ids, "<u4").tobytes()
-            self.text[word] = " ".join(names)
+                found += map(self.chunks.__getitem__, self.normal(part).split(" "))
+        return b"".join([x[0] for x in found]), " ".join([x[1] for x in found if x[1]])
 
-    def encode(self, words: list[str]) -> bytes:
-        return b"".join(map(self.ids.__getitem__, words))
+    def _chunk(self, chunk: str) -> tuple[bytes, str]:
+        words = [chunk] if chunk.isalpha() else self.cut.findall(chunk)
+        found = [self.known.get(w) or self._learn(w) for w in words]
+        return b"".join([x[0] for x in found]), " ".join([x[1] for x in found if x[1]])
 
-    def decode(self, words: list[str]) -> str:
-        return " ".join(filter(None, map(self.text.__getitem__, words)))
+    def _learn(self, word: str) -> tuple[bytes, str]:
+        kept = [t for t in self.bpe.encode_word(word.encode()) if self.bpe.id[t] >= 0]
+        ids = np.array([self.bpe.id[t] for t in kept], "<u4").tobytes()
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
+        found = self.known[word] = ids, " ".join([self.bpe.names[t] for t in kept])
+        return found
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
@@ -211,13 +222,8 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     def run(batch):
         encoder, texts = WordEncoder(path), strings(batch.column(1))
         for part in pieces([len(t) for t in texts], 1 << 18):
-            cut = [encoder.words(t) for t in texts[part]]
-            encoder.learn(set().union(*cut))
-            yield {
-                "doc_id": batch.column(0)[part],
-                "ids": [encoder.encode(w) for w in cut],
-                "decoded": pa.array([encoder.decode(w) for w in cut], pa.string()),
-            }
+            ids, decoded = zip(*map(encoder.encode, texts[part]))
+            yield {"doc_id": batch.column(0)[part], "ids": pa.array(ids, pa.binary()), "decoded": pa.array(decoded, pa.string())}
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
     return map_texts(rows, run, "doc_id long, ids binary, decoded string", "doc_id", "text")

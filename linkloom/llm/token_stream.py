@@ -1,15 +1,14 @@
 """Token ids of whole texts from the tokenizers library, chunk by chunk through a worker's cache.
 
-A single space between two characters that aren't white space is a safe place to cut for a
-byte-level pre-tokenizer: none of its patterns crosses it. Texts are cut there, chunks seen
-before are looked up. New chunks of plain Latin text are cut on by the pre-tokenizer's own
+A single space or line end between two characters that aren't white space is a safe place to
+cut for a byte-level pre-tokenizer: none of its patterns crosses it. Texts are cut there, chunks
+seen before are looked up. New chunks of plain Latin text are cut on by the pre-tokenizer's own
 pattern, and the library's model encodes each new part; all else goes to the library whole.
 """
 
 from __future__ import annotations
 
 import json
-import re
 
 import numpy as np
 import regex
@@ -23,7 +22,28 @@ REMEMBERED, REMEMBERED_PARTS = 1_000_000, 700_000
 _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _MARKS = frozenset(".,;:!?")
 _LETTERS = dict(enumerate(byte_letters()))
-_UNSAFE = re.compile(r"\s\s|^\s|\s$| [\x1c-\x1f\x85]|[\x1c-\x1f\x85] ")
+
+
+class _Uncut(Exception):
+    """A space next to other white space: the text can't be cut there."""
+
+
+class _Chunks(dict):
+    """Ids of chunks with the space before them; what is missing is encoded and remembered."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, chunk: str) -> bytes:
+        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+            raise _Uncut
+        if "\n" in chunk:  # seldom seen again as a whole
+            return self.encode(chunk)
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[chunk] = self.encode(chunk)
+        return found
 
 
 class TokenStream:
@@ -31,7 +51,9 @@ class TokenStream:
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
-        self.known, self.parts = worker_cache(f"chunks:{path}"), worker_cache(f"parts:{path}")
+        cache = worker_cache(f"chunks:{path}")
+        self.known, self.parts = cache.setdefault("known", _Chunks(None)), worker_cache(f"parts:{path}")
+        self.known.encode = self._chunk
         pre = json.loads(self.tokenizer.to_str())
         kind, plain = pre["pre_tokenizer"] or {}, not (pre["normalizer"] or pre["post_processor"])
         if not plain or (kind.get("type"), kind.get("use_regex"), kind.get("add_prefix_space")) != ("ByteLevel", True, False):
@@ -43,30 +65,18 @@ class TokenStream:
         return np.array(ids, np.uint32).tobytes()
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [None if self._unsafe(t) else t.split(" ") for t in texts]
-        self._learn(c for c in cut if c is not None)
-        out = []
-        for text, chunks in zip(texts, cut):
-            if chunks is None:
-                found = self.whole(text)
-            else:
-                found = self.whole(chunks[0]) + b"".join(map(self.known.__getitem__, chunks[1:]))
-            out.append(np.frombuffer(found, np.uint32))
-        return out
-
-    def _unsafe(self, text: str) -> bool:
-        return bool(_UNSAFE.search(text)) or any(s in text for s in self.special)
-
-    def _learn(self, cut) -> None:
-        wanted = set()
-        for chunks in cut:
-            wanted.update(chunks[1:])
-        new = [c for c in wanted if c not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(wanted)
-        for chunk in new:
-            self.known[chunk] = self._chunk(chunk)
+        return [np.frombuffer(self._text(t), np.uint32) for t in texts]
+
+    def _text(self, text: str) -> bytes:
+        if any(s in text for s in self.special):
+            return self.whole(text)
+        first, *chunks = text.split(" ")
+        if first[-1:].isspace() or not first:
+            return self.whole(text)
+        try:
+            return self.whole(first) + b"".join(map(self.known.__getitem__, chunks))
+        except _Uncut:
+            return self.whole(text)
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids of a chunk with the space before it."""
@@ -76,7 +86,17 @@ class TokenStream:
             return self._part(" " + chunk)
         if chunk[-1] in _MARKS and chunk[:-1].isalpha():
             return self._part(" " + chunk[:-1]) + self._part(chunk[-1])
-        return b"".join(map(self._part, _PARTS.findall(" " + chunk)))
+        lines = chunk.split("\n")
+        if not all(lines) or any(len(x.split()) > 1 or x[0].isspace() or x[-1].isspace() for x in lines):
+            return self.whole(" " + chunk)
+        out = [self.known[lines[0]] if len(lines) > 1 else b"".join(map(self._part, _PARTS.findall(" " + chunk)))]
+        for line in lines[1:]:
+            out.append(self._part("\n"))
+            if line.isalpha():
+                out.append(self._part(line))
+            else:
+                out += map(self._part, _PARTS.findall(line))
+        return b"".join(out)
 
     def _part(self, part: str) -> bytes:
         found = self.parts.get(part)

@@ -128,10 +128,10 @@ def test_prefix_bpe_on_random_text():
     alphabet = "aaabbcdehilnorstuTHE  \n'.,!0123-_éßİſΣσ漢字🙂́ \x1c\x85"
     for _ in range(400):
         text = "".join(draw.choice(alphabet) for _ in range(draw.randrange(60))) + draw.choice(["", "<|endoftext|> I'LL they've"])
-        words, ids = encoder.words(text), library.encode(text, add_special_tokens=False).ids
-        encoder.learn(set(words))
-        assert np.frombuffer(encoder.encode(words), "<u4").tolist() == ids
-        assert encoder.decode(words) == library.decode(ids, skip_special_tokens=False)
+        ids = library.encode(text, add_special_tokens=False).ids
+        found, decoded = encoder.encode(text)
+        assert np.frombuffer(found, "<u4").tolist() == ids
+        assert decoded == library.decode(ids, skip_special_tokens=False)
 
 
 def test_token_stream_on_random_text():
