@@ -41,13 +41,18 @@ def vocabulary(path: str) -> dict[str, int]:
     return cache[path]
 
 
-def prefixes(vocab: dict[str, int]) -> dict[str, int]:
-    """Every beginning of a piece: the piece's number, or -1 where it is none itself."""
-    cache = worker_cache("prefixes")
+def piece_trie(vocab: dict[str, int]) -> list:
+    """Nodes ``[piece or -1, next node by letter]``: following letters meets the pieces that begin there."""
+    cache = worker_cache("trie")
     if cache.get("of") is not vocab:
-        starts = {name[:k]: -1 for name in vocab for k in range(1, len(name))}
-        cache.update(of=vocab, starts=starts | vocab)
-    return cache["starts"]
+        root = [-1, {}]
+        for name, piece in vocab.items():
+            node = root
+            for letter in name:
+                node = node[1].setdefault(letter, [-1, {}])
+            node[0] = piece
+        cache.update(of=vocab, root=root)
+    return cache["root"]
 
 
 def words_of(text: str) -> list[str]:
@@ -62,26 +67,35 @@ class Lattice:
     """All cuts of some words: an edge for each piece at each place."""
 
     def __init__(self, words: list[str], vocab: dict[str, int], longest: int):
-        word, start, end, piece, base, at, none = [], [], [], [], [], 0, len(vocab)
-        get = prefixes(vocab).get
+        base, at, none, packed = [], 0, len(vocab), []
+        add, begins = packed.append, piece_trie(vocab)[1]
         for k, w in enumerate(words):
             w = "▁" + w
             n = len(w)
             base.append(at)
             at += n + 1
             for i in range(n):
-                if w[i] not in vocab:  # a letter outside the vocabulary is a piece of its own
-                    word.append(k), start.append(i), end.append(i + 1), piece.append(none)
-                for j in range(i + 1, min(n, i + longest) + 1):
-                    p = get(w[i:j])
-                    if p is None:  # no piece begins like this
+                node, place = begins.get(w[i]), (k << 6 | i) << 6 | i
+                if node is None or node[0] < 0:  # a letter outside the vocabulary is a piece of its own
+                    add((place + 1) << 24 | none)
+                if node is None:
+                    continue
+                for letter in w[i + 1 : i + longest]:
+                    place += 1
+                    if node[0] >= 0:
+                        add(place << 24 | node[0])
+                    node = node[1].get(letter)
+                    if node is None:  # no piece begins like this
                         break
-                    if p >= 0:
-                        word.append(k), start.append(i), end.append(j), piece.append(p)
+                else:
+                    if node[0] >= 0:
+                        add((place + 1) << 24 | node[0])
         self.base, self.size = np.array(base, np.int64), at
         self.lengths = np.array([len(w) + 1 for w in words], np.int64)
-        word, start, end = (np.array(x, np.int64) for x in (word, start, end))
-        self.word, self.piece = word, np.array(piece, np.int64)
+        edges = np.array(packed, np.int64)  # word, start, end (6 bits each) and piece (24 bits)
+        self.piece, word = edges & 0xFFFFFF, edges >> 36
+        start, end = edges >> 30 & 63, edges >> 24 & 63
+        self.word = word
         self.tail, self.head = self.base[word] + start, self.base[word] + end
         self.start, self.end = start, end
 
