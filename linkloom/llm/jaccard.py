@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.llm.common import binaries, lower_ascii, mix, pieces, table, window_hashes, word_hashes
@@ -35,6 +35,8 @@ from linkloom.session import materialise
 WIDTH, PERCENT = 5, 75
 #: Fingerprints a bucket holds, shingles a chunk holds, sets and shingles a block holds.
 BUCKET, CHUNK, BLOCK_SETS, BLOCK_SHINGLES = 4_000_000, 1_500_000, 500, 2_000_000
+#: Shares of all shingles; tokens with more than one are broadcast, fewer than this number.
+HEAVY = 100_000
 #: Weight of a probe against a merged element when lists are divided.
 MU = 0.0085
 SEEDS = (0x51ED270B, 0x2545F491, 0x9E3779B1, 0x7F4A7C15)
@@ -391,9 +393,37 @@ def _pack(laid: DataFrame) -> DataFrame:
     return laid.select("part", "set_id", "size", "component", "shingles").mapInArrow(run, PACKED)
 
 
-def _prefix_tokens(shingles: bytes, percent: int) -> np.ndarray:
-    tokens = np.frombuffer(shingles, np.int64)
-    return tokens[: len(tokens) - least_overlap(len(tokens), percent) + 1]
+def _rare_prefixes(sets: DataFrame, total: int, percent: int) -> DataFrame:
+    """``(no, token)``: the prefix of each set of ``sets(no, cno, n, shingles)``.
+
+    Tokens are ordered by how many sets hold them, those of a single component ``cno`` before all
+    others and left out. Of two linked sets of different components each has one of the common
+    tokens among its first ``n - least + 1``, so rare tokens lead the search and what many
+    documents share only where nothing else could link. Sets with no such token have no row.
+
+    ``total`` is the number of shingles: fewer than HEAVY tokens are in more than total / HEAVY
+    sets, so these are broadcast, and no group of the shuffled join is larger than that.
+    """
+    def explode(batches):
+        for batch in batches:
+            for no, cno, shingles in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                tokens = np.frombuffer(shingles, np.int64)
+                columns = [pa.array(tokens), pa.array(np.full(len(tokens), no)), pa.array(np.full(len(tokens), cno))]
+                yield pa.RecordBatch.from_arrays(columns, ["token", "no", "cno"])
+
+    tokens = sets.select("no", "cno", "shingles").mapInArrow(explode, "token long, no long, cno long")
+    held = tokens.groupBy("token").agg(F.count("*").alias("held"), F.min("cno").alias("_a"), F.max("cno").alias("_b"))
+    held = materialise(held.filter("_a <> _b").select("token", "held"), "held")
+    heavy = F.col("held") > total // HEAVY
+    most = held.filter(heavy)
+    few = tokens.join(F.broadcast(most), "token", "left_anti").join(held.filter(~heavy), "token")
+    both = few.select("no", "token", "held").union(tokens.join(F.broadcast(most), "token").select("no", "token", "held"))
+    of_set = Window.partitionBy("no")
+    place = F.row_number().over(of_set.orderBy("held", "token"))
+    ranked = both.select("*", place.alias("place")).select("*", F.count("*").over(of_set).alias("shared"))
+    ranked = ranked.join(sets.select("no", "n"), "no")
+    least = F.expr(f"({percent} * n + 99) div 100")
+    return ranked.filter(F.col("place") <= F.col("shared") - least + 1).select("no", "token")
 
 
 class _Block:
@@ -451,8 +481,7 @@ def _between_components(sets: DataFrame, found: DataFrame, percent: int) -> Data
 
     Sets that could link elsewhere are packed into blocks, small components apart from large
     ones. A set is searched for in the blocks that hold a token of its prefix in one of theirs
-    and a component after its own; prefixes are the first ``n - least + 1`` tokens by hash, of
-    which two linked sets always share one.
+    and a component after its own; two linked sets always share one.
     """
     labelled = _labelled(sets.select("set_id", "n", "k0", "shingles"), found)
     total = labelled.agg(F.sum("n")).first()[0] or 0
@@ -466,33 +495,28 @@ def _between_components(sets: DataFrame, found: DataFrame, percent: int) -> Data
     if left.isEmpty():
         return None
     ranks = left.groupBy("component").agg(F.count("*").alias("size"), F.min("k0").alias("key"))
-    left = left.join(materialise(ranks, "ranks"), "component")
+    ranks = materialise(ranks.withColumn("cno", F.monotonically_increasing_id()), "ranks")
+    left = materialise(left.join(ranks, "component").withColumn("no", F.monotonically_increasing_id()), "ranked")
+    n_open = left.agg(F.sum("n")).first()[0]
+    prefixes = materialise(_rare_prefixes(left, n_open, percent), "prefixes")
+    left = left.join(prefixes.select("no").distinct(), "no", "left_semi")
     by = [F.col("size") > 1, "key", "size", "component", "set_id"]
     laid = left.withColumn("part", F.lit(0).cast("long")).repartitionByRange(*by).sortWithinPartitions(*by)
     blocks = materialise(_pack(laid), "blocks")
 
-    def block_tokens(batches):
-        for batch in batches:
-            for block, size, component, sizes, shingles in zip(*(c.to_pylist() for c in batch.columns)):
-                ends = 8 * np.cumsum(np.frombuffer(sizes, np.int64))
-                cut = [_prefix_tokens(shingles[b:e], percent) for b, e in zip(np.append(0, ends[:-1]), ends)]
-                tokens = np.unique(np.concatenate(cut))
-                k = len(tokens)
-                columns = [pa.array(tokens), pa.array([block] * k), pa.array([size] * k), pa.array([component] * k, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["token", "block", "high_size", "high_component"])
-
-    def set_tokens(batches):
+    def members(batches):
         for batch in batches:
-            for name, size, component, shingles in zip(*(c.to_pylist() for c in batch.columns)):
-                tokens = _prefix_tokens(shingles, percent)
-                k = len(tokens)
-                columns = [pa.array(tokens), pa.array([name] * k, pa.binary()), pa.array([size] * k), pa.array([component] * k, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["token", "set_id", "size", "component"])
-
-    held = blocks.select("block", "high_size", "high_component", "sizes", "shingles")
-    held = held.mapInArrow(block_tokens, "token long, block long, high_size long, high_component binary")
-    asked = left.select("set_id", "size", "component", "shingles")
-    asked = asked.mapInArrow(set_tokens, "token long, set_id binary, size long, component binary")
+            for block, size, component, names in zip(*(c.to_pylist() for c in batch.columns)):
+                k = len(names) // 16
+                ids = pa.array([names[i : i + 16] for i in range(0, len(names), 16)], pa.binary())
+                columns = [ids, pa.array([block] * k), pa.array([size] * k), pa.array([component] * k, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["set_id", "block", "high_size", "high_component"])
+
+    held = blocks.select("block", "high_size", "high_component", "names")
+    held = held.mapInArrow(members, "set_id binary, block long, high_size long, high_component binary")
+    held = held.join(left.select("no", "set_id"), "set_id").drop("set_id").join(prefixes, "no")
+    held = held.select("token", "block", "high_size", "high_component").distinct()
+    asked = prefixes.join(left.select("no", "set_id", "size", "component"), "no")
     same = F.col("size") == F.col("high_size")
     smaller = (F.col("size") < F.col("high_size")) | (same & (F.col("component") < F.col("high_component")))
     routed = asked.join(held, "token").filter(smaller).select("set_id", F.col("block").alias("part")).distinct()
