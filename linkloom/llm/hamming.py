@@ -1,13 +1,15 @@
-"""Near-duplicate vectors by iterative quantisation and multi-index Hamming tables.
+"""Near-duplicate vectors by random rotations, probed hash tables and an exact rerank.
 
-A rotation of the centred vectors is learned so that their signs are balanced binary codes.
-Codes are cut into substrings; two codes meet in a table where a substring differs in one
-bit at most. Pairs that meet and are close in all are ranked again by the original vectors.
+The signs of a vector along random directions are its key in a table. Whatever the data, two
+vectors at an angle differ in each sign with the probability angle / pi. In every table a vector
+also looks under the keys it would have if the signs it is least sure of were flipped. Pairs
+that meet are ranked again by the original vectors. Keys are as long as the number of vectors
+asks for; as many tables are made as find all but ``MISSED`` of sampled pairs at the threshold.
 """
 
 from __future__ import annotations
 
-import pickle
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -19,34 +21,84 @@ from linkloom.llm.components import components
 from linkloom.session import materialise
 
 LEAST_COSINE = 0.95
-#: Vectors the rotation is fitted on, rounds of fitting, bits of a substring, and how many
-#: bits two codes may differ in before their vectors are compared.
-FIT_VECTORS, ROUNDS, SUBSTRING, RADIUS = 8192, 30, 16, 16
+#: Vectors sampled to lay out the tables, pairs planted on each, and the share of those that may be missed.
+SAMPLE, PLANTED, MISSED = 512, 8, 0.001
+#: Keys a vector looks under in a table, chosen among the flips of its least sure signs; most signs of a key.
+PROBES, UNSURE, LONGEST = 16, 6, 32
+#: Signs of the sketch compared before the vectors, and how likely it turns a pair at the threshold away.
+SKETCH, TURNED_AWAY = 63, 1e-6
 
+_FLIPS = (np.arange(1 << UNSURE)[:, None] >> np.arange(UNSURE)) & 1
 
-class Quantiser:
-    """Mean, projection and rotation; ``codes`` gives up to 63 bits per vector."""
 
-    def __init__(self, mean: np.ndarray, rotation: np.ndarray):
-        self.mean, self.rotation, self.bits = mean, rotation, rotation.shape[1]
+def directions(width: int, n: int, seed: int) -> np.ndarray:
+    """``n`` random directions as columns, orthogonal in blocks of at most ``width``."""
+    rng, parts = np.random.default_rng(seed), []
+    for low in range(0, n, width):
+        parts.append(np.linalg.qr(rng.normal(size=(width, min(width, n - low))))[0])
+    return np.concatenate(parts, 1)
 
-    @classmethod
-    def fit(cls, x: np.ndarray, seed: int = 3) -> Quantiser:
-        mean = x.mean(0)
-        x = x - mean
-        bits = min(63, x.shape[1])
-        _, vectors = np.linalg.eigh(x.T @ x)
-        projection = vectors[:, ::-1][:, :bits]
-        v = x @ projection
-        r, _ = np.linalg.qr(np.random.default_rng(seed).normal(size=(bits, bits)))
-        for _ in range(ROUNDS):
-            left, _, right = np.linalg.svd(np.where(v @ r >= 0, 1.0, -1.0).T @ v)
-            r = (left @ right).T
-        return cls(mean, projection @ r)
 
-    def codes(self, x: np.ndarray) -> np.ndarray:
-        signs = (x - self.mean) @ self.rotation >= 0
-        return signs @ (1 << np.arange(self.bits, dtype=np.int64))
+class Tables:
+    """Keys of ``bits`` signs in each table, and a sketch that no key shares a direction with."""
+
+    def __init__(self, width: int, bits: int, n_tables: int = 0):
+        self.width, self.bits = width, bits
+        self.sketching = directions(width, SKETCH, 3)
+        self.rotations = [directions(width, bits, 100 + t) for t in range(n_tables)]
+
+    def add(self) -> None:
+        self.rotations.append(directions(self.width, self.bits, 100 + len(self.rotations)))
+
+    def sketch(self, x: np.ndarray) -> np.ndarray:
+        return (x @ self.sketching >= 0) @ (1 << np.arange(SKETCH, dtype=np.int64))
+
+    def keys(self, x: np.ndarray, t: int) -> np.ndarray:
+        """``PROBES`` keys in table ``t`` for each vector, its own first."""
+        along = x @ self.rotations[t]
+        weights = 1 << np.arange(self.bits, dtype=np.int64)
+        unsure = np.argsort(np.abs(along), 1)[:, :UNSURE]
+        cost = np.take_along_axis(along, unsure, 1) ** 2 @ _FLIPS.T
+        chosen = np.argsort(cost, 1, kind="stable")[:, :PROBES]  # no flip costs nothing
+        flipped = _FLIPS[chosen] * weights[unsure][:, None, :]
+        return ((along >= 0) @ weights)[:, None] ^ flipped.sum(2)
+
+
+def radius_of(least: float) -> int:
+    """Most signs of a sketch that a pair at the threshold differs in, but for ``TURNED_AWAY`` of them."""
+    p, r, tail = math.acos(least) / math.pi, -1, 1.0
+    while tail > TURNED_AWAY:
+        r += 1
+        tail -= math.comb(SKETCH, r) * p**r * (1 - p) ** (SKETCH - r)
+    return r
+
+
+def lay_tables(x: np.ndarray, n: int, least: float, missed: float = MISSED) -> Tables:
+    """Tables for ``n`` unit vectors like those of ``x``.
+
+    Where signs agree more often than by chance, as around a common mean, keys are longer.
+    """
+    rng, width = np.random.default_rng(5), x.shape[1]
+    codes = Tables(width, 1).sketch(x)
+    apart = np.bitwise_count(codes[:, None] ^ codes)[np.triu_indices(len(x), 1)]
+    agree = 1 - apart.mean() / SKETCH if len(apart) else 0.5
+    agree = min(max(agree, 0.5), 0.99)
+    bits = math.ceil(math.log(max(n, 2)) / -math.log(agree)) + 1
+    tables = Tables(width, min(max(bits, 8), LONGEST))
+    a = np.repeat(x, -(-SAMPLE * PLANTED // len(x)), 0)
+    z = rng.normal(size=a.shape)
+    z -= (z * a).sum(1, keepdims=True) * a
+    size = np.sqrt((z * z).sum(1, keepdims=True))
+    if width == 1:
+        b = a
+    else:
+        b = least * a + math.sqrt(1 - least * least) * z / size
+    found = np.zeros(len(a), bool)
+    while found.mean() < 1 - missed:
+        tables.add()
+        p, q = (tables.keys(v, len(tables.rotations) - 1) for v in (a, b))
+        found |= (p == q[:, :1]).any(1) | (q == p[:, :1]).any(1)
+    return tables
 
 
 def _rows(column: pa.Array, width: int) -> np.ndarray:
@@ -71,58 +123,34 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def fit_quantiser(classes: DataFrame, most: int = FIT_VECTORS) -> Quantiser:
-    """Fitted in one task on at most ``most`` vectors, chosen by a hash of their ids."""
-    sample = classes.orderBy(F.xxhash64(F.lit(7), "rep"), "rep").limit(most).select("v")
+def fit_tables(classes: DataFrame, least: float) -> Tables:
+    """Laid out by at most ``SAMPLE`` vectors, chosen by a hash of their ids."""
+    sample = classes.orderBy(F.xxhash64(F.lit(7), "rep"), "rep").limit(SAMPLE).select("v").collect()
+    return lay_tables(unit(np.array([r.v for r in sample], np.float64)), classes.count(), least)
 
-    def fit(batches):
-        x = np.array([v for batch in batches for v in batch.column(0).to_pylist()])
-        model = Quantiser.fit(unit(x))
-        yield pa.RecordBatch.from_pydict({"model": [pickle.dumps((model.mean, model.rotation))]})
 
-    return Quantiser(*pickle.loads(sample.repartition(1).mapInArrow(fit, "model binary").first()[0]))
+def candidates(classes: DataFrame, tables: Tables, radius: int) -> DataFrame:
+    """Pairs ``a < b`` where one looks under the other's key in some table, each pair once."""
+    width, bits, n_tables = tables.width, tables.bits, len(tables.rotations)
 
-
-def _coded(classes: DataFrame, model: Quantiser, width: int) -> DataFrame:
     def encode(batches):
+        laid = Tables(width, bits, n_tables)
         for batch in batches:
-            codes = model.codes(unit(_rows(batch.column(1), width)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes)], ["rep", "code"])
-
-    return classes.select("rep", "v").mapInArrow(encode, "rep long, code long")
-
-
-def candidates(coded: DataFrame, bits: int, radius: int = RADIUS) -> DataFrame:
-    """Pairs ``a < b`` whose codes share a substring but for one bit, each pair once.
-
-    A table row holds a substring with one bit cleared, so codes that differ there meet. Of all
-    tables where a pair meets only the first counts: no substring before is as close.
-    """
-    cuts = [(k, low, min(SUBSTRING, bits - low)) for k, low in enumerate(range(0, bits, SUBSTRING))]
-    piece = lambda c, low, n: F.shiftrightunsigned(c, low).bitwiseAND(F.lit((1 << n) - 1))
-    keys = F.array(*[
-        F.struct(
-            F.lit(k).alias("part"),
-            F.lit(t).alias("cleared"),
-            piece(F.col("code"), low, n).bitwiseAND(F.lit((1 << n) - 1 - (1 << t))).alias("held"),
-        )
-        for k, low, n in cuts
-        for t in range(n)
-    ])
-    tables = materialise(coded.select("rep", "code", F.explode(keys).alias("k")).select("rep", "code", "k.*"), "tables")
-    a, b = (tables.withColumnsRenamed({"rep": x, "code": f"{x}_code"}) for x in "ab")
-    differ = F.col("a_code").bitwiseXOR(F.col("b_code"))
-    first = F.lit(False)
-    for k, low, n in cuts:
-        here = (F.col("part") == k) & (
-            (piece(differ, low, n) == F.expr("shiftleft(1L, cleared)"))
-            | ((piece(differ, low, n) == 0) & (F.col("cleared") == 0))
-        )
-        for _, before, m in cuts[:k]:
-            here &= F.bit_count(piece(differ, before, m)) > 1
-        first |= here
-    met = a.join(b, ["part", "cleared", "held"])
-    return met.filter((F.col("a") < F.col("b")) & (F.bit_count(differ) <= radius) & first).select("a", "b")
+            x = unit(_rows(batch.column(1), width))
+            keys = np.concatenate([laid.keys(x, t) + (t << bits) for t in range(n_tables)], 1)
+            lists = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * keys.shape[1], keys.ravel())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(laid.sketch(x)), lists], ["rep", "code", "keys"])
+
+    coded = classes.select("rep", "v").mapInArrow(encode, "rep long, code long, keys array<long>")
+    coded = materialise(coded, "coded")
+    own = F.array(*[F.col("keys")[t * PROBES] for t in range(n_tables)])
+    homes = coded.select(F.col("rep").alias("a"), F.col("code").alias("a_code"), F.explode(own).alias("key"))
+    looks = coded.select(F.col("rep").alias("b"), F.col("code").alias("b_code"), F.posexplode("keys").alias("nth", "key"))
+    met = homes.join(looks, "key")
+    # Two vectors under the same key meet twice; the second time is passed over.
+    once = F.when(F.col("nth") % PROBES == 0, F.col("a") < F.col("b")).otherwise(F.col("a") != F.col("b"))
+    close = F.bit_count(F.col("a_code").bitwiseXOR(F.col("b_code"))) <= radius
+    return met.filter(once & close).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, width: int, least: float) -> DataFrame:
@@ -139,7 +167,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, width: int, least: float) ->
     return both.mapInArrow(check, "a long, b long")
 
 
-def near_vectors(vectors: DataFrame, least: float = LEAST_COSINE, radius: int = RADIUS) -> DataFrame:
+def near_vectors(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` of every row of ``vectors(vec_id, embedding)``.
 
     Equal vectors are folded first and counted by their number. Vectors that are null, empty,
@@ -156,8 +184,7 @@ def near_vectors(vectors: DataFrame, least: float = LEAST_COSINE, radius: int =
     links = None
     for (width,) in classes.select("width").distinct().orderBy("width").collect():
         own = classes.filter(F.col("width") == width)
-        model = fit_quantiser(own)
-        met = materialise(candidates(_coded(own, model, width), model.bits, radius), "met")
+        met = materialise(candidates(own, fit_tables(own, least), radius_of(least)), "met")
         found = _verified(met, own, width, least)
         links = found if links is None else links.union(found)
     if links is None:
