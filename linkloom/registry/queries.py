@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkloom.config import Params
 from linkloom.functions import vectors as V
 from linkloom.functions.draws import draw, normal
 from linkloom.functions.names import base_name
@@ -14,7 +15,7 @@ from linkloom.operators import graph, metrics, ordering, recommend, refine, sage
 from linkloom.operators.distribution import score_box, score_histogram
 from linkloom.plans import evaluate as ev
 from linkloom.plans import job, search
-from linkloom.plans.batches import edge_batches, pack_batches
+from linkloom.plans.batches import edge_batches, pack_batches, whole_pass
 from linkloom.plans.gold import score_relations, stored_embeddings
 from linkloom.plans.train import metric_rows, train, train_head
 from linkloom.registry import fixtures as fx
@@ -734,8 +735,12 @@ def train_model(spark, sf):
 
 @query
 def train_and_evaluate(spark, sf):
-    """The untuned run from silver relations to the evaluation of both held-out splits."""
-    params = fx.RUN.with_changes(num_node_features=15, num_hidden_graph_layers=20)
+    """The untuned run from silver relations to the evaluation of both held-out splits.
+
+    Its steps consume the whole training split, with two batches or more in each.
+    """
+    params = whole_pass(Params(), fx.split(spark, sf, "training").count())
+    params = params.with_changes(batches_per_step=max(2, params.batches_per_step))
     run = job.train_and_evaluate(fx.silver(spark, sf), KEYS, params, scratch_path(spark, "run"))
     return run.evaluation.transform(rounded, "mean_auc", "mean_ap")
 
@@ -752,13 +757,14 @@ def train_link_head(spark, sf):
 
 @query
 def run_trials(spark, sf):
-    """Trials over the whole training split, each validated on the whole validation split."""
-    training = fx.split(spark, sf, "training")
-    base = _full_pass(training, fx.RUN.with_changes(batch_size=32))
-    space = {"loss": ["binary_cross_entropy", "margin"], "aggregator_type": ["mean", "pool"]}
-    trials = search.sample_trials(spark, 3, space=space)
+    """All trials of the search space over the whole training split, each validated on the whole validation split."""
     results = search.run_trials(
-        trials, training, fx.split(spark, sf, "validation"), fx.n_nodes(spark, sf), base
+        search.sample_trials(spark),
+        fx.split(spark, sf, "training"),
+        fx.split(spark, sf, "validation"),
+        fx.n_nodes(spark, sf),
+        Params(),
+        whole=True,
     )
     return results.transform(rounded, "loss")
 
