@@ -21,29 +21,31 @@ from linkloom.session import materialise
 LEAST_POSTERIOR = 0.5
 
 
-def _keep(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is in ``wanted``; rows without an id go."""
-    return docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
-
-
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier predicts to be good."""
-    scored = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
-    return _keep(docs, scored.filter("predicted = 1"))
+    scored = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")), carry=True)
+    return scored.filter("predicted = 1").select("row.*")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language."""
     path = vocabulary_path("piece_bpe_32k.model")
     model = fit_languages(docs.filter(id_remainder("doc_id", 3) != 1), path)
-    named = predict_languages(docs, model, path)
-    return _keep(docs, named.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_POSTERIOR)))
+    named = predict_languages(docs, model, path, carry=True)
+    return named.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_POSTERIOR)).select("row.*")
 
 
 def jaccard_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the smallest id."""
-    classes = jaccard_components(docs)
-    return _keep(docs, classes.filter("doc_id = component_id"))
+    """One document of each group of near copies, the first with the smallest id; a null id is the largest.
+
+    Rows are told apart by a key of their own: ids may repeat or be null.
+    """
+    keyed = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    found = jaccard_components(keyed.select(F.col("_row").alias("doc_id"), "text"))
+    placed = found.select(F.col("doc_id").alias("_row"), "component_id").join(keyed.select("_row", "doc_id"), "_row")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("first")
+    kept = placed.groupBy("component_id").agg(first).select("first._row")
+    return keyed.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

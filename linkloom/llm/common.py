@@ -70,6 +70,13 @@ def map_texts(df: DataFrame, fn: Callable, schema: str, *columns: str) -> DataFr
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def carried(docs: DataFrame, carry: bool) -> tuple[list[str], list[Column], str]:
+    """What takes the whole row along as the column ``row``: its name, the column and its schema."""
+    if not carry:
+        return [], [], ""
+    return ["row"], [F.struct(*docs.columns).alias("row")], f", row {docs.schema.simpleString()}"
+
+
 def _arrow(values):
     return values if isinstance(values, (pa.Array, pa.ChunkedArray)) else pa.array(values)
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import id_remainder, map_texts, pieces, strings, table, worker_cache
+from linkloom.llm.common import carried, id_remainder, map_texts, pieces, strings, table, worker_cache
 
 UNKNOWN, SMOOTHING = "und", 0.05
 #: Longer runs of letters are scored in parts of so many.
@@ -241,12 +241,13 @@ class _Scorer:
         return v / v.sum()
 
 
-def predict_languages(docs: DataFrame, model: LanguageModel, path: str) -> DataFrame:
+def predict_languages(docs: DataFrame, model: LanguageModel, path: str, carry: bool = False) -> DataFrame:
     """``(doc_id, lang_pred, score)`` of every row; the score is the language's posterior.
 
     Null text, and text without a letter, is ``und`` with score 0, and so is all where no
     language was learned. Ties go to the first name. Null and repeated ids are kept, other
-    columns ignored; an empty table gives no rows.
+    columns ignored; an empty table gives no rows. With ``carry`` the whole row comes along as
+    ``row``.
     """
     def predict(batch):
         scorer = _Scorer(model, vocabulary(path)) if model.langs else None
@@ -261,10 +262,12 @@ def predict_languages(docs: DataFrame, model: LanguageModel, path: str) -> DataF
                         p = scorer.posterior(words)
                         best = int(p.argmax())
                         names[k], scores[k] = model.langs[best], float(p[best])
-            yield {"doc_id": batch.column(0)[part], "lang_pred": names, "score": scores}
+            yield {n: batch.column(n)[part] for n in kept} | {"lang_pred": names, "score": scores}
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return map_texts(rows, predict, "doc_id long, lang_pred string, score double", "doc_id", "text")
+    kept, row, schema = carried(docs, carry)
+    kept = ["doc_id", *kept]
+    rows = docs.select(F.col("doc_id").cast("long"), "text", *row)
+    return map_texts(rows, predict, f"doc_id long, lang_pred string, score double{schema}", *rows.columns)
 
 
 def op9_language_id(spark, sf: str, path: str) -> DataFrame:

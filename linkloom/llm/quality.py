@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import binaries, id_remainder, map_texts, mix, pieces, table, word_hashes
+from linkloom.llm.common import binaries, carried, id_remainder, map_texts, mix, pieces, table, word_hashes
 
 PASSAGE_WORDS, HASHED, HIDDEN, ATTENTION = 60, 64, 24, 12
 #: Most labelled documents a model is fitted on; chosen by a hash of their ids.
@@ -198,10 +198,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, most: int = FIT_DOCUMENTS) -
     return model
 
 
-def score_quality(docs: DataFrame, model: AttentionModel | float, threshold: float = THRESHOLD) -> DataFrame:
+def score_quality(
+    docs: DataFrame, model: AttentionModel | float, threshold: float = THRESHOLD, carry: bool = False
+) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` of every row; null text counts as empty.
 
     Null and repeated ids are kept, other columns ignored; an empty table gives no rows.
+    With ``carry`` the whole row comes along as ``row``.
     """
     def score(batch):
         texts = binaries(batch.column(1))
@@ -210,10 +213,13 @@ def score_quality(docs: DataFrame, model: AttentionModel | float, threshold: flo
                 s = np.full(len(texts[part]), model)
             else:
                 s = model.scores(*encode_passages(texts[part]))
-            yield {"doc_id": batch.column(0)[part], "held_out": batch.column(2)[part], "score": s}
+            yield {n: batch.column(n)[part] for n in kept} | {"score": s}
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text", (id_remainder("doc_id", 5) == 0).alias("held_out"))
-    scored = map_texts(rows, score, "doc_id long, held_out boolean, score double", "doc_id", "text", "held_out")
+    kept, row, schema = carried(docs, carry)
+    kept = ["doc_id", "held_out", *kept]
+    held_out = (id_remainder("doc_id", 5) == 0).alias("held_out")
+    rows = docs.select(F.col("doc_id").cast("long"), "text", held_out, *row)
+    scored = map_texts(rows, score, f"doc_id long, held_out boolean, score double{schema}", *rows.columns)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
