@@ -6,8 +6,12 @@ import json
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Holds the text of a record that is not JSON or has a value that does not fit its column.
+RESCUED = "_corrupt_record"
+
 
 def merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:
     """The old fields, widened where the new type holds more, then fields only the new schema has."""
@@ -47,32 +51,79 @@ def evolve_schema(spark: SparkSession, sample: str, location: str) -> T.StructTy
 
     Versions are separate folders, so a failed write leaves the last one whole.
     """
+    _, old = stored_schema(spark, location)
+    seen = _inferred(spark, sample)
+    return _remember(spark, location, seen if old is None else merge_schemas(old, seen))
+
+
+def _inferred(spark: SparkSession, files: str | list[str]) -> T.StructType:
+    seen = spark.read.option("columnNameOfCorruptRecord", RESCUED).json(files).schema
+    return T.StructType([f for f in seen.fields if f.name != RESCUED])
+
+
+def _remember(spark: SparkSession, location: str, merged: T.StructType) -> T.StructType:
     version, old = stored_schema(spark, location)
-    seen = spark.read.json(sample).schema
-    merged = seen if old is None else merge_schemas(old, seen)
     if merged != old and merged.fields:  # an empty first file tells nothing
         text = spark.createDataFrame([(merged.json(),)], "value string")
         text.write.mode("overwrite").text(f"{location}/version={version + 1}")
     return merged
 
 
+def with_new_fields(old: T.DataType, new: T.DataType) -> T.DataType:
+    """``old`` with the fields only ``new`` has, at any depth; types that differ stay as in ``old``."""
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return T.ArrayType(with_new_fields(old.elementType, new.elementType), old.containsNull)
+    if not (isinstance(old, T.StructType) and isinstance(new, T.StructType)):
+        return old
+    seen, known = {f.name: f.dataType for f in new.fields}, set(old.fieldNames())
+    kept = [T.StructField(f.name, with_new_fields(f.dataType, seen.get(f.name)), f.nullable) for f in old.fields]
+    return T.StructType([*kept, *[f for f in new.fields if f.name not in known]])
+
+
+def unseen_files(spark: SparkSession, path: str, checkpoint: str | None) -> list[str]:
+    """Files under ``path`` that the log of the stream's checkpoint doesn't name; all without one."""
+    files = spark.read.format("binaryFile").load(path).select("path")
+    if checkpoint is not None:
+        try:
+            log = spark.read.text(f"{checkpoint}/sources/0")
+            bare = lambda c: F.regexp_replace(F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), "^file:/+", "/")
+            seen = log.select(bare(F.get_json_object("value", "$.path")).alias("seen")).dropna()
+            files = files.join(seen, F.regexp_replace("path", "^file:/+", "/") == F.col("seen"), "left_anti")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return [r["path"] for r in files.collect()]
+
+
 def read_landing_stream(
     spark: SparkSession,
     path: str,
     schema_location: str,
     sample: str | None = None,
     max_files: int | None = None,
+    checkpoint: str | None = None,
 ) -> DataFrame:
     """Incremental scan of the JSON files under ``path``.
 
-    The schema is inferred once and remembered; ``sample`` names the files to
-    look at, so a large landing zone need not be read for it. ``max_files``
-    cuts a backlog into several micro-batches.
+    The schema is remembered. Before each run it is inferred from the files that ``checkpoint``
+    has not seen, or from all without one, and new fields are added; types change only by
+    ``sample``, which names files to widen them by. A record that is not JSON or has a value
+    that does not fit keeps its text in ``_corrupt_record``. ``max_files`` cuts a backlog into
+    several micro-batches. A file that lands between the inference and the run is read by the
+    schema before it.
     """
+    if sample is not None:
+        evolve_schema(spark, sample, schema_location)
     _, schema = stored_schema(spark, schema_location)
-    if schema is None or sample is not None:
-        schema = evolve_schema(spark, sample or path, schema_location)
-    reader = spark.readStream.schema(schema)
+    files = unseen_files(spark, path, checkpoint)
+    if files:
+        seen = _inferred(spark, files)
+        schema = _remember(spark, schema_location, seen if schema is None else with_new_fields(schema, seen))
+    reader = spark.readStream
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
+    if schema is None or not schema.fields:  # no record has told a field yet
+        return reader.text(path).filter(F.trim("value") != "").select(F.col("value").alias(RESCUED))
+    if RESCUED not in schema.fieldNames():
+        schema = T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType())])
+    return reader.schema(schema).option("columnNameOfCorruptRecord", RESCUED).json(path)

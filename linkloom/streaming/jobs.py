@@ -7,12 +7,13 @@ continue where the last run ended and add nothing twice.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from linkloom.model import SageModel
 from linkloom.operators.refine import clean_parties, confident_links, refine_probability
 from linkloom.operators.scoring import predict_links
-from linkloom.sources.landing import read_landing_stream
+from linkloom.sources.landing import RESCUED, read_landing_stream
 
 
 def append_stream(
@@ -47,13 +48,20 @@ def bronze_stream(
     sample: str | None = None,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Landing JSON to bronze; name ``sample`` files to pick up new columns."""
-    rows = read_landing_stream(spark, landing, schema_location, sample, max_files)
+    """Landing JSON to bronze, with columns that new files bring; name ``sample`` files to widen types."""
+    rows = read_landing_stream(spark, landing, schema_location, sample, max_files, checkpoint)
     return append_stream(rows, checkpoint, path, table)
 
 
+def rescued_rows(bronze: DataFrame) -> DataFrame:
+    """Bronze records that could not be read in full, with their text; silver leaves them aside."""
+    return bronze.filter(F.col(RESCUED).isNotNull())
+
+
 def silver_rows(bronze: DataFrame) -> DataFrame:
     """Confident links with cleaned names; the same rule for batches and streams."""
+    if RESCUED in bronze.columns:
+        bronze = bronze.filter(F.col(RESCUED).isNull()).drop(RESCUED)
     return clean_parties(confident_links(bronze))
 
 
