@@ -11,7 +11,9 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SPAN = 4294967296.0
+_SPAN, _FINE_SPAN = 4294967296.0, 4503599627370496.0
+#: Indices below more than this are drawn with 52 bits; 32 are even enough below.
+MANY = 1 << 20
 
 
 def _digest(seed: int, keys: tuple[Column, ...]) -> Column:
@@ -22,6 +24,10 @@ def _unit(digest: Column, start: int) -> Column:
     return F.conv(F.substring(digest, start, 8), 16, 10).cast("bigint") / F.lit(_SPAN)
 
 
+def _fine_unit(digest: Column) -> Column:
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint") / F.lit(_FINE_SPAN)
+
+
 def draw(seed: int, *keys: Column) -> Column:
     """Uniform in [0, 1)."""
     return _unit(_digest(seed, keys), 1)
@@ -30,7 +36,8 @@ def draw(seed: int, *keys: Column) -> Column:
 def draw_index(seed: int, n: Column | int, *keys: Column) -> Column:
     """Uniform integer in [0, n)."""
     bound = n if isinstance(n, Column) else F.lit(n)
-    return F.floor(draw(seed, *keys) * bound).cast("bigint")
+    u = F.when(bound > MANY, _fine_unit(_digest(seed, keys))).otherwise(draw(seed, *keys))
+    return F.floor(u * bound).cast("bigint")
 
 
 def normal(seed: int, *keys: Column) -> Column:
@@ -46,6 +53,11 @@ def draws(seed: int, n: int, *keys: Column) -> Column:
     return F.array(*[_unit(digests[i // 4], 8 * (i % 4) + 1) for i in range(n)])
 
 
+def fine_draws(seed: int, n: int, *keys: Column) -> Column:
+    """``n`` uniforms of 52 bits as an array, for indices below more than ``MANY``."""
+    return F.array(*[_fine_unit(_digest(seed, (*keys, F.lit(i)))) for i in range(n)])
+
+
 def driver_draw(seed: int, *keys) -> float:
     """The same uniform for driver-held values such as model weights."""
     text = ":".join([*map(str, keys), str(seed)])
