@@ -544,14 +544,16 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WID
     Texts link when 100 * intersection >= ``percent`` * union of their shingle sets. A text
     without words is linked with nothing. Rows that repeat an id are nodes of their own that
     share its number. A row with a null id keeps its size, has no component and links nothing.
-    Other columns are ignored; an empty table gives no rows.
+    Only components are kept: once two are known to be one, no further link between them is
+    searched for, so there is no list of links and no number of links. Other columns are ignored; an empty table gives no rows.
     """
     described = materialise(describe_sets(docs, width), "sets")
     named = described.filter("doc_id is not null and set_id is not null")
     classes = materialise(
         named.groupBy("set_id").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n")), "classes"
     )
-    total = classes.agg(F.sum("n")).first()[0] or 0
+    # Texts are shipped by row, so copies count too.
+    total = named.agg(F.sum("n_shingles")).first()[0] or 0
 
     def sets_of(batch):
         ids = batch.column(0)
