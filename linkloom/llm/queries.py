@@ -15,6 +15,7 @@ from linkloom.llm.line_crf import op3_quality_rules
 from linkloom.llm.packing import op10_packing
 from linkloom.llm.prefix_bpe import op8_prefix_bpe
 from linkloom.llm.quality import op4_quality_classifier
+from linkloom.llm.substring import op11_substring_dedup
 from linkloom.llm.token_file import op5_token_binary
 from linkloom.llm.warc import op6_warc
 from linkloom.llm.whitening import op13_embedding_whitening
@@ -40,6 +41,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_prefix_bpe": lambda s, d: op8_prefix_bpe(s, d, vocabulary_path("word_bpe_49k.json")),
         "op9_language_id": lambda s, d: op9_language_id(s, d, vocabulary_path("piece_bpe_32k.model")),
         "op10_packing": lambda s, d: op10_packing(s, d, vocabulary_path("byte_bpe_50k.json")),
+        "op11_substring_dedup": op11_substring_dedup,
         "op12_source_divergence": op12_source_divergence,
         "op13_embedding_whitening": op13_embedding_whitening,
     }
@@ -65,6 +67,27 @@ SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, compone
 FROM embeddings JOIN least ON node = vec_id
 """
 
+# Every window of 13 words with the smallest document it starts in.
+OP11_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents
+), windows AS (
+  SELECT row, doc_id, start, array_to_string(list_slice(words, start, start + 12), ' ') AS words
+  FROM (SELECT row, doc_id, words, unnest(generate_series(1, len(words) - 12)) AS start FROM d)
+), earlier AS (
+  SELECT row, start FROM (SELECT row, start, doc_id, min(doc_id) OVER (PARTITION BY words) AS least FROM windows)
+  WHERE least < doc_id OR (doc_id IS NULL AND least IS NOT NULL)
+), gone AS (
+  SELECT row, list(DISTINCT place) AS places
+  FROM (SELECT row, unnest(generate_series(start, start + 12)) AS place FROM earlier) GROUP BY row
+)
+SELECT doc_id, len(words) AS n_words, coalesce(len(places), 0) AS n_removed,
+  sha256(CASE WHEN places IS NULL THEN array_to_string(words, ' ') ELSE
+    array_to_string(list_filter(words, lambda w, i: NOT list_contains(places, i)), ' ') END) AS kept_sha256
+FROM d LEFT JOIN gone USING (row)
+"""
+
 # Counts by terms, exact shares as huge integers, all pairs of sources of a language.
 OP12_SQL = """
 WITH d AS (
@@ -102,4 +125,4 @@ FROM found QUALIFY part = 'pair' OR rank <= 50
 
 def llm_oracles() -> dict[str, str]:
     """SQL for the queries that DuckDB can express and run on the whole test tables."""
-    return {"op7_embedding_dedup": OP7_SQL, "op12_source_divergence": OP12_SQL}
+    return {"op7_embedding_dedup": OP7_SQL, "op11_substring_dedup": OP11_SQL, "op12_source_divergence": OP12_SQL}
