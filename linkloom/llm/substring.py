@@ -6,9 +6,9 @@ hash, is the same gram, so
 1. every document sends the hashes of its windows' smallest grams, about a fifth of its words;
    grams of a single document are dropped, and with them all windows that can't repeat;
 2. neighbouring windows with the same smallest gram are a unit of at most ``2 * width - 5`` words.
-   Equal units fold to the smallest document id. Units go to the shard of their gram, so equal
-   windows meet in one shard; windows of a gram that very many documents hold go one by one,
-   each to the shard of its own hash, so no gram makes a large shard;
+   Units go to the shard of their gram, so equal windows meet in one shard. Windows of a gram that
+   occurs very often are units of their own, fold to the smallest document id first and go to the
+   shard of their own hash, so no gram makes a large shard;
 3. a shard puts its units into an FM-index and streams them through it backwards. Where the
    matching statistics reach ``width``, the interval of the match tells the smallest document
    that holds the window;
@@ -32,11 +32,11 @@ from pyspark.sql import functions as F
 
 from linkloom.llm.common import binaries, mix, pieces, shared_file, table, window_hashes, word_hashes
 from linkloom.llm.fm_index import FMIndex
-from linkloom.session import materialise, scratch_path
+from linkloom.session import scratch_path
 
 WIDTH, GRAM = 13, 5
 #: Rows of a part, as a power of two. Grams a bucket and a chunk hold, units a shard holds.
-PART_BITS, BUCKET, CHUNK, SHARD = 13, 4_000_000, 1_000_000, 30_000
+PART_BITS, BUCKET, CHUNK, SHARD = 13, 4_000_000, 1_000_000, 60_000
 #: Windows of a gram that occurs more often are dealt one by one.
 OFTEN = 2_000
 #: Bytes of text worked on at once.
@@ -80,6 +80,13 @@ def _read_part(path: str, part: int, columns: list[str]) -> pa.Table | None:
     return pa.concat_tables([pq.ParquetFile(system.open_input_file(f)).read(columns) for f in files])
 
 
+def _written(rows: DataFrame, label: str) -> DataFrame:
+    """A table written to the shared folder, packed more tightly than by default."""
+    path = scratch_path(rows.sparkSession, label)
+    rows.write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _written_by_part(rows: DataFrame, label: str) -> str:
     path = scratch_path(rows.sparkSession, label)
     rows.repartition("part").write.partitionBy("part").parquet(path)
@@ -92,7 +99,6 @@ def _repeated_grams(texts: DataFrame, width: int) -> tuple[str, int]:
     A key is the bucket and 32 more bits of a hash; a chance collision may keep a gram, never
     drop one.
     """
-    spark = texts.sparkSession
     words = F.length("text") / 6  # only the number of buckets depends on this
     expected = texts.agg(F.sum(words)).first()[0] or 0
     n_buckets = int(max(24, expected // (4 * BUCKET)))
@@ -230,7 +236,8 @@ def _collect_units(texts: DataFrame, repeated: str, n_buckets: int, width: int)
                 order = np.argsort(unit, kind="stable")
                 first = np.flatnonzero(np.concatenate([[True], np.diff(unit[order]) != 0]))
                 low, high = (f.reduceat(doc[order], first) for f in (np.minimum, np.maximum))
-                one = order[first]
+                one, back = np.sort(order[first]), np.argsort(order[first])  # texts overlap in this order
+                low, high = low[back], high[back]
                 split = b" ".join(data[piece]).split()
                 held = [b" ".join(split[i : j + width]) for i, j in zip(a[one].tolist(), b[one].tolist())]
                 columns = [unit[one], gram[one], np.full(len(one), part), low, high]
@@ -242,11 +249,16 @@ def _collect_units(texts: DataFrame, repeated: str, n_buckets: int, width: int)
 def _search_shard(rows: pa.Table, width: int) -> pa.Table:
     """For each unit the smallest document of each of its windows, where one is earlier than another."""
     numbers: dict[bytes, int] = {}
+    ids = rows.column("unit").to_numpy()
+    order = np.argsort(ids, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], np.diff(ids[order]) != 0]))
+    low = np.minimum.reduceat(rows.column("low").to_numpy()[order], first)
+    high = np.maximum.reduceat(rows.column("high").to_numpy()[order], first)
+    rows = rows.select(["unit", "words"]).take(pa.array(order[first]))
     units = [
         np.array([numbers.setdefault(w, len(numbers) + 1) for w in text.split()], np.int64)
         for text in rows.column("words").to_pylist()
     ]
-    low, high = rows.column("low").to_numpy(), rows.column("high").to_numpy()
     index = FMIndex(units, low, width)
     lengths, places = index.matching_statistics(units)
     lane, at = np.nonzero(lengths >= width)  # in order of lanes, then of places
@@ -268,20 +280,19 @@ def repeated_passages(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     nothing from each other. A null id counts as larger than all others. Other columns are
     ignored; an empty table gives no rows.
     """
-    spark = docs.sparkSession
-    path = scratch_path(spark, "texts")
     part = F.shiftright(F.monotonically_increasing_id(), PART_BITS)
     named = docs.select(part.alias("part"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    named.write.option("compression", "zstd").parquet(path)
-    texts = spark.read.schema(named.schema).parquet(path)
+    texts = _written(named, "texts")
 
     repeated, n_buckets = _repeated_grams(texts, width)
-    units = materialise(_collect_units(texts, repeated, n_buckets, width), "units")
+    units = _written(_collect_units(texts, repeated, n_buckets, width), "units")
     n_shards = max(1, units.count() // SHARD)
-    folded = units.groupBy("unit").agg(
-        *[F.first(c).alias(c) for c in ("gram", "words")], F.min("low").alias("low"), F.max("high").alias("high")
+    columns = ["unit", "gram", "words", "low", "high"]
+    often = units.filter("gram = unit").groupBy("unit", "gram").agg(
+        F.first("words").alias("words"), F.min("low").alias("low"), F.max("high").alias("high")
     )
-    shards = folded.withColumn("shard", F.pmod("gram", F.lit(n_shards))).groupBy("shard")
+    dealt = units.filter("gram <> unit").select(columns).union(often.select(columns))
+    shards = dealt.withColumn("shard", F.pmod("gram", F.lit(n_shards))).drop("gram").groupBy("shard")
     found = shards.applyInArrow(lambda rows: _search_shard(rows, width), "unit long, earliest binary")
     found = units.select("unit", "part").distinct().join(found, "unit").select("part", "unit", "earliest")
     earlier = _written_by_part(found, "earlier")
