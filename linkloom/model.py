@@ -97,14 +97,14 @@ def drawn_model(
 
 
 def save_model(spark: SparkSession, model: SageModel, path: str) -> None:
-    """Write the weights as rows ``(layer, part, out, in, w)`` to a new versioned path."""
+    """Write the weights as rows ``(layer, part, out, in, w)``; weights at the same path are replaced."""
     rows = [
         (int(name.split(".")[0]), name.split(".")[1], at[0], at[1] if len(at) == 2 else -1, float(v))
         for name, values in model.weights.items()
         for at, v in np.ndenumerate(values)
     ]
     table = spark.createDataFrame(rows, "layer int, part string, out int, `in` int, w double")
-    table.coalesce(1).write.mode("errorifexists").parquet(f"{path}/kind={model.kind}")
+    table.coalesce(1).write.mode("overwrite").parquet(f"{path}/kind={model.kind}")
 
 
 def load_model(weights: DataFrame) -> SageModel:

@@ -12,17 +12,22 @@ from linkloom.operators.ordering import running_totals
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def score_histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
-    """Count and density per equal bin of [0, 1]; 1 itself belongs to the last bin."""
+def score_histogram(df: DataFrame, column: str, bins: int = 20, low: float = 0.0, high: float = 1.0) -> DataFrame:
+    """Count and density per equal bin of [low, high]; ``high`` itself belongs to the last bin.
+
+    Values below are in bin -1, those above in bin ``bins``.
+    """
     value = F.col(column).cast("double")
+    inside = F.least(F.floor((value - low) * bins / (high - low)), F.lit(bins - 1))
+    place = F.when(value < low, F.lit(-1).cast("long")).when(value > high, F.lit(bins).cast("long")).otherwise(inside)
     counted = (
         df.filter(value.isNotNull())
-        .groupBy(F.least(F.floor(value * bins), F.lit(bins - 1)).alias("bin"))
+        .groupBy(place.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     # One row per bin: the grand total is a sum over at most ``bins`` rows.
     total = counted.agg(F.sum("n")).first()[0] or 1
-    return counted.withColumn("density", F.col("n") * bins / total)
+    return counted.withColumn("density", F.col("n") * bins / ((high - low) * total))
 
 
 def score_box(df: DataFrame, column: str) -> DataFrame:
@@ -67,3 +72,55 @@ def score_box(df: DataFrame, column: str) -> DataFrame:
         F.lit(high).alias("high_fence"),
         outlying.alias("n_outlying"),
     )
+
+
+def outlying_rows(df: DataFrame, column: str) -> DataFrame:
+    """The rows beyond the whiskers of ``score_box``: 1.5 times the distance of the quartiles away."""
+    box = score_box(df, column).select("low_fence", "high_fence").first()
+    value = F.col(column).cast("double")
+    if box["low_fence"] is None:
+        return df.limit(0)
+    return df.filter((value < box["low_fence"]) | (value > box["high_fence"]))
+
+
+#: Bins to a bandwidth, and bandwidths from a value at which its kernel has died out.
+FINE, REACH = 1000, 9.0
+
+
+def kernel_bandwidth(df: DataFrame, column: str) -> float:
+    """0.9 times the smaller of deviation and quartile distance / 1.34, times n to the power -1/5; 0 if constant."""
+    value = F.col(column).cast("double")
+    moments = df.agg(F.count(value).alias("n"), F.stddev_samp(value).alias("sd")).first()
+    if moments["n"] < 2:
+        return 0.0
+    box = score_box(df, column).select("q25", "q75").first()
+    widths = [w for w in (moments["sd"], (box["q75"] - box["q25"]) / 1.34) if w > 0]
+    return 0.9 * min(widths, default=0.0) * moments["n"] ** -0.2
+
+
+def score_density(df: DataFrame, column: str, low: float, high: float, points: int, bandwidth: float | None = None) -> DataFrame:
+    """``(x, density)``: a Gaussian kernel density at ``points`` equal places from ``low`` to ``high``.
+
+    Each value is shared out between the two bins around it, far finer than the kernel; then bins
+    meet only the places in reach of their kernel. Nulls don't count; without two different
+    values there are no rows.
+    """
+    value = F.col(column).cast("double")
+    known = df.filter(value.isNotNull()).select(value.alias("v"))
+    width = kernel_bandwidth(df, column) if bandwidth is None else bandwidth
+    if not width > 0:
+        return df.sparkSession.createDataFrame([], "x double, density double")
+    step, gap = width / FINE, (high - low) / (points - 1)
+    at = F.col("v") / step
+    part = at - F.floor(at)
+    sides = F.explode(F.array(F.struct(F.floor(at).alias("bin"), (1 - part).alias("w")), F.struct((F.floor(at) + 1).alias("bin"), part.alias("w"))))
+    bins = known.select(sides.alias("s")).groupBy("s.bin").agg(F.sum("s.w").alias("w"))
+    middle = F.col("bin") * step
+    first = F.greatest(F.ceil((middle - REACH * width - low) / gap), F.lit(0))
+    last = F.least(F.floor((middle + REACH * width - low) / gap), F.lit(points - 1))
+    met = bins.withColumns({"_a": first, "_b": last}).filter("_a <= _b").select("bin", "w", F.explode(F.sequence("_a", "_b")).alias("i"))
+    away = (F.col("i") * gap + low - middle) / width
+    total = known.count() * width * math.sqrt(2 * math.pi)
+    summed = met.groupBy("i").agg((F.sum(F.col("w") * F.exp(-0.5 * away * away)) / total).alias("density"))
+    every = df.sparkSession.range(points).withColumnRenamed("id", "i").join(summed, "i", "left")
+    return every.select((F.col("i") * gap + low).alias("x"), F.coalesce("density", F.lit(0.0)).alias("density"))

@@ -34,8 +34,8 @@ def enrich(relations: DataFrame, scores: DataFrame, locations: DataFrame) -> Dat
     return relations.join(patient, "src_id", "left").join(provider, "dst_id", "left")
 
 
-def candidate_links(pairs: DataFrame, edges: DataFrame) -> DataFrame:
-    """Distinct pairs between known nodes that are not edges: what the model is asked about."""
+def unlinked_pairs(pairs: DataFrame, edges: DataFrame) -> DataFrame:
+    """The distinct given pairs that join known nodes and are not edges."""
     known = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
     return (
         pairs.select("src", "dst")
@@ -51,7 +51,7 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     half_lat = F.pow(F.sin(F.radians(lat2 - lat1) / 2.0), 2)
     half_lon = F.pow(F.sin(F.radians(lon2 - lon1) / 2.0), 2)
     chord = half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon
-    return F.lit(2.0 * EARTH_KM) * F.asin(F.sqrt(F.least(chord, F.lit(1.0))))
+    return F.lit(2.0 * EARTH_KM) * F.asin(F.sqrt(F.greatest(F.least(chord, F.lit(1.0)), F.lit(0.0))))
 
 
 def nearby_links(

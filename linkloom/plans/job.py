@@ -12,9 +12,10 @@ from linkloom.model import save_model
 from linkloom.operators.graph import build_edges, count_nodes, node_features
 from linkloom.operators.ordering import split_edges
 from linkloom.operators.sage import embed_all
-from linkloom.plans.batches import edge_batches, pack_batches
+from linkloom.plans.batches import at_once, edge_batches, pack_batches
 from linkloom.plans.evaluate import embedding_projection, evaluate, packed_forward
-from linkloom.plans.train import TrainingRun, metric_rows, train_on_edges
+from linkloom.plans.lockstep import TrainingRun
+from linkloom.plans.train import metric_rows, train
 from linkloom.session import materialise
 
 
@@ -30,8 +31,8 @@ def train_and_evaluate(
 ) -> FinishedRun:
     """Split, train on the training edges, evaluate both held-out splits, write it all.
 
-    ``output`` gets ``model``, ``metrics``, ``evaluation`` and ``projection``;
-    metrics are appended, so runs share a table.
+    ``output`` gets ``model``, ``metrics``, ``evaluation`` and ``projection``. Runs share the
+    table of metrics, each in a folder by its id; a run that is tried again replaces its rows.
     """
     spark = relations.sparkSession
     edges = build_edges(relations, keys)
@@ -45,18 +46,20 @@ def train_and_evaluate(
     def edges_of(split: str) -> DataFrame:
         return labelled.filter(F.col("split") == split).drop("split")
 
-    training = train_on_edges(edges_of("training"), x, n_nodes, params)
+    def packed(split: str) -> DataFrame:
+        return pack_batches(edge_batches(edges_of(split), n_nodes, params, split == "training"), None, params)
+
+    splits = "training", "validation", "testing"
+    tables = dict(zip(splits, at_once(spark, *(lambda s=s: packed(s) for s in splits))))
+    training = train(tables["training"], params)
     model = training.model
     save_model(spark, model, f"{output}/model")
-    metric_rows(spark, run_id, training).write.mode("append").parquet(f"{output}/metrics")
+    # A folder for each run, written anew when the run is tried again.
+    metric_rows(spark, run_id, training).drop("run_id").write.mode("overwrite").parquet(f"{output}/metrics/run_id={run_id}")
 
-    scores = {}
-    for split in ("validation", "testing"):
-        batches = edge_batches(edges_of(split), n_nodes, params)
-        packed = pack_batches(batches, x, params, stepped=False)
-        scores[split] = packed_forward(packed, model, params.fanouts)
-    evaluate(scores).write.parquet(f"{output}/evaluation")
+    scores = {s: packed_forward(tables[s], model, params.fanouts, params.seed) for s in splits[1:]}
+    evaluate(scores).write.mode("overwrite").parquet(f"{output}/evaluation")
 
     h = materialise(embed_all(edges_of("training"), x, model), "embeddings")
-    embedding_projection(h).write.parquet(f"{output}/projection")
+    embedding_projection(h).write.mode("overwrite").parquet(f"{output}/projection")
     return FinishedRun(training, spark.read.parquet(f"{output}/evaluation"), n_nodes)

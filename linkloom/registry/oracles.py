@@ -9,13 +9,13 @@ from __future__ import annotations
 
 import math
 
-from linkloom.functions.names import LEGAL_ENDINGS
+from linkloom.functions.names import ENDING_PATTERN, ONLY_ENDINGS
 from linkloom.registry.fixtures import FEATURE_SEED, KEYS, MODEL_SEED, RUN, WIDTHS
 
 K = ", ".join(KEYS)
 BRONZE = f"{K}, src_id, dst_id, Purchaser, Seller"
 ENDINGS = "[' LLC', ', Ltd.', ' Inc', '']"
-PATTERN = "([ ,]+(" + "|".join(LEGAL_ENDINGS) + ")[.]?)*[ ,]*$"
+PATTERN = ENDING_PATTERN.removeprefix("(?i)")
 
 
 def digest(seed: int, *keys: str) -> str:
@@ -40,7 +40,8 @@ def r6(e: str) -> str:
 
 
 def base(e: str) -> str:
-    return f"regexp_replace(trim({e}), '{PATTERN}', '', 'i')"
+    stripped = f"regexp_replace(trim({e}), '{PATTERN}', '', 'i')"
+    return f"CASE WHEN regexp_matches(trim({e}), '{ONLY_ENDINGS}') THEN trim({e}) ELSE {stripped} END"
 
 
 def sigmoid(e: str) -> str:
@@ -131,6 +132,21 @@ piece(
        (floor({draw(22, 'eid')} * 20) - 10) / 5.0::DOUBLE AS score FROM batched""",
     "batched",
 )
+piece("skewed", f"SELECT {K}, -2 * ln(1 - probability) - 0.5 AS v FROM bronze", "bronze")
+piece(
+    "spread",
+    """SELECT count(*) AS n, stddev_samp(v) AS sd, quantile_cont(v, 0.25) AS q25, quantile_cont(v, 0.75) AS q75,
+quantile_cont(v, 0.75) - quantile_cont(v, 0.25) AS iqr FROM skewed""",
+    "skewed",
+)
+piece(
+    "numbers",
+    """SELECT id, row_number() OVER (ORDER BY nth, id) - 1 AS number FROM (
+SELECT id, min(nth) AS nth FROM (
+SELECT unnest([src_id, dst_id]) AS id, CASE WHEN l_linenumber <= 3 THEN 0 ELSE 1 END AS nth FROM bronze
+) GROUP BY id)""",
+    "bronze",
+)
 piece("links", "SELECT src, dst, count(*) AS n FROM edges GROUP BY src, dst", "edges")
 
 
@@ -523,6 +539,7 @@ FROM edges JOIN embeddings ON vec_id = src % (SELECT count(*) FROM embeddings),
         "sage_layer_pool": _h("h1_pool", WIDTHS[1]),
         "sage_layer_mean_pool": _h("h1_mean_pool", WIDTHS[1]),
         "embed_all": _h("h2_mean", WIDTHS[2]),
+        "fresh_embeddings": _h("h2_mean", WIDTHS[2]),
         "embed_all_pool": _h("h2_pool", WIDTHS[2]),
         "mlp_link_score": sql(
             f"""SELECT eid, {r6(MLP)} AS score FROM edges
@@ -612,7 +629,43 @@ LEFT JOIN patients p ON p.id = src_id LEFT JOIN providers q ON q.id = dst_id""",
             "patients",
             "providers",
         ),
+        "company_endings": "SELECT c_custkey, c_name AS name FROM customer",
+        "encode_ids": sql(
+            f"""SELECT {K}, s.number AS src, t.number AS dst FROM bronze
+JOIN numbers s ON s.id = src_id JOIN numbers t ON t.id = dst_id""",
+            "bronze",
+            "numbers",
+        ),
+        "refresh_table": sql(f"SELECT {K}, {r6('1 - probability')} AS probability FROM bronze WHERE probability >= 0.55::DOUBLE", "bronze"),
+        "score_density": sql(
+            """SELECT (i / 50.0)::DOUBLE AS x, round(sum(exp(-0.5 * pow((i / 50.0 - v) / width, 2))) / (max(n) * max(width) * sqrt(2 * pi())), 4)::DOUBLE + 0.0 AS density
+FROM (SELECT v, n, 0.9 * least(sd, iqr / 1.34) * pow(n, -0.2) AS width FROM skewed, spread), range(0, 251) t(i)
+GROUP BY i""",
+            "skewed",
+            "spread",
+        ),
+        "outlying_rows": sql(
+            f"""SELECT {K}, {r6('v')} AS v FROM skewed, spread WHERE v < q25 - 1.5 * iqr OR v > q75 + 1.5 * iqr""",
+            "skewed",
+            "spread",
+        ),
         "candidate_links": sql(
+            """SELECT src, dst, score::BIGINT AS score, rank::INTEGER AS rank FROM (
+SELECT *, row_number() OVER (PARTITION BY src ORDER BY score DESC, dst) AS rank FROM (
+SELECT l.src, c.w AS dst, sum(c.n) AS score FROM links l JOIN (
+SELECT a.dst AS v, b.dst AS w, count(*) AS n FROM links a JOIN links b ON a.src = b.src AND a.dst <> b.dst GROUP BY ALL
+) c ON c.v = l.dst GROUP BY ALL
+) s WHERE NOT EXISTS (SELECT 1 FROM links l WHERE l.src = s.src AND l.dst = s.dst)) WHERE rank <= 5""",
+            "links",
+        ),
+        "nearest_providers": sql(
+            f"""SELECT src_id, dst_id, {r6('km')} AS km, rank::INTEGER AS rank FROM (
+SELECT *, row_number() OVER (PARTITION BY src_id ORDER BY km, dst_id) AS rank FROM (
+SELECT p.id AS src_id, q.id AS dst_id, {km} AS km FROM patients p CROSS JOIN providers q)) WHERE rank <= 3""",
+            "patients",
+            "providers",
+        ),
+        "unlinked_pairs": sql(
             """SELECT DISTINCT src_id AS src, dst_id AS dst FROM bronze WHERE probability < 0.55::DOUBLE
 AND src_id IN (SELECT src FROM edges UNION SELECT dst FROM edges)
 AND dst_id IN (SELECT src FROM edges UNION SELECT dst FROM edges)

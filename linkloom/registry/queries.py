@@ -11,7 +11,9 @@ from linkloom.config import Params
 from linkloom.functions import vectors as V
 from linkloom.functions.draws import draw, normal
 from linkloom.functions.names import base_name
-from linkloom.operators import graph, metrics, ordering, recommend, refine, sage, sampling, scoring
+from linkloom.operators import candidates, graph, metrics, nearest, ordering, recommend, refine, sage, sampling, scoring
+from linkloom.operators import distribution as dist
+from linkloom.operators.dictionary import IdDictionary, encode_edges
 from linkloom.operators.distribution import score_box, score_histogram
 from linkloom.plans import evaluate as ev
 from linkloom.plans import job, search
@@ -22,6 +24,7 @@ from linkloom.registry import fixtures as fx
 from linkloom.session import materialise, scratch_path
 from linkloom.sources import archives, landing, tables
 from linkloom.streaming import jobs
+from linkloom.streaming.fresh import FreshEmbeddings, fresh_gold
 
 Query = Callable[[SparkSession, str], DataFrame]
 _registered: dict[str, Query] = {}
@@ -600,6 +603,23 @@ def score_quartiles(spark, sf):
     return rounded(box, "q25", "q50", "q75", "low_fence", "high_fence")
 
 
+def _skewed(spark, sf):
+    """A score with a long tail, partly below 0 and beyond 1."""
+    tail = -2 * F.log(1 - F.col("probability")) - 0.5
+    return fx.bronze(spark, sf).select(*KEYS, tail.alias("v"))
+
+
+@query
+def score_density(spark, sf):
+    density = dist.score_density(_skewed(spark, sf), "v", 0.0, 5.0, 251)
+    return density.select(F.round("x", 6).alias("x"), F.round("density", 4).alias("density"))
+
+
+@query
+def outlying_rows(spark, sf):
+    return dist.outlying_rows(_skewed(spark, sf), "v").transform(rounded, "v")
+
+
 @query
 def best_trial(spark, sf):
     """Batches stand for trials: loss is minus the mean AUC of a trial's batches."""
@@ -638,10 +658,53 @@ def enrich(spark, sf):
 
 
 @query
-def candidate_links(spark, sf):
+def company_endings(spark, sf):
+    """Every customer's name with an ending of several words or with points, taken off again."""
+    endings = " S.A.", ", L.L.C.", " GmbH & Co. KG", " Sp. z o.o.", " S. de R.L. de C.V.", " Co., Ltd.", ", Private Limited", " A/S"
+    ending = F.array(*[F.lit(e) for e in endings])[(F.col("c_custkey") % len(endings)).cast("int")]
+    name = base_name(F.concat("c_name", ending))
+    return fx.table(spark, sf, "customer").select("c_custkey", name.alias("name"))
+
+
+@query
+def encode_ids(spark, sf):
+    """Ids spread up to 2^60 get dense numbers in two runs, of which the second adds to the first."""
+    sparse = [(F.col(c) * (1 << 40) + 12345).alias(a) for c, a in (("src_id", "src"), ("dst_id", "dst"))]
+    links = fx.bronze(spark, sf).select(*KEYS, *sparse)
+    numbers = IdDictionary(spark, scratch_path(spark, "numbers"))
+    for part in (links.filter("l_linenumber <= 3"), links):
+        known = numbers.add(part.select(F.explode(F.array("src", "dst")).alias("id")))
+    return encode_edges(links, known)
+
+
+@query
+def refresh_table(spark, sf):
+    """A table overwritten from itself, twice."""
+    name, path = _table_name("refreshed"), scratch_path(spark, "table")
+    rows = fx.bronze(spark, sf).select(*KEYS, "probability")
+    tables.overwrite_table(rows, name, path)
+    tables.overwrite_table(spark.table(name).filter("probability >= 0.55"), name, path)
+    tables.overwrite_table(spark.table(name).withColumn("probability", 1 - F.col("probability")), name, path)
+    return spark.table(name).transform(rounded, "probability")
+
+
+@query
+def unlinked_pairs(spark, sf):
     low = refine.low_confidence_links(fx.bronze(spark, sf))
     pairs = low.select(F.col("src_id").alias("src"), F.col("dst_id").alias("dst"))
-    return recommend.candidate_links(pairs, fx.edges(spark, sf))
+    return recommend.unlinked_pairs(pairs, fx.edges(spark, sf))
+
+
+@query
+def candidate_links(spark, sf):
+    """The five best new providers of every patient."""
+    return candidates.candidate_links(fx.edges(spark, sf), 5)
+
+
+@query
+def nearest_providers(spark, sf):
+    near = nearest.nearest_providers(fx.patient_locations(spark, sf), fx.provider_locations(spark, sf), 3)
+    return near.transform(rounded, "km")
 
 
 @query
@@ -698,16 +761,27 @@ def incremental_gold(spark, sf):
     return spark.read.parquet(out).select(*KEYS, r6(F.col("probability")).alias("probability"))
 
 
+@query
+def fresh_embeddings(spark, sf):
+    """Silver links arriving in three batches, each changing the embeddings; activated as by embed_all."""
+    silver, path = fx.silver(spark, sf), scratch_path(spark, "arriving")
+    silver.repartition(3, "l_orderkey").write.parquet(path)
+    arriving = spark.readStream.schema(silver.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    fresh = FreshEmbeddings(spark, scratch_path(spark, "fresh"), fx.model(), fx.FEATURE_SEED, buckets=4)
+    fresh_gold(arriving, fresh, scratch_path(spark, "ckpt"), scratch_path(spark, "gold"), fx.nodes(spark, sf))
+    active = fresh.embeddings().withColumn("x", V.relu(F.col("x")))
+    return active.select("id", *spread("x", fx.WIDTHS[2], "h"))
+
+
 # Training and evaluation
 
 
 @query
 def evaluate(spark, sf):
     """Both held-out splits with fixed weights."""
-    x = fx.node_x(spark, sf)
     scores = {
         s: ev.packed_forward(
-            pack_batches(_batches(spark, sf, s), x, fx.RUN, False), fx.model(), fx.RUN.fanouts
+            pack_batches(_batches(spark, sf, s), None, fx.RUN), fx.model(), fx.RUN.fanouts, fx.FEATURE_SEED
         )
         for s in ("validation", "testing")
     }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -48,6 +49,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/linkloom/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def shared_file(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system and path of something in the shared folder, as seen from a task."""
+    return fs.FileSystem.from_uri(uri) if ":/" in uri else (fs.LocalFileSystem(), uri)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Redistribute rows read from fewer files than there are cores; else as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -96,7 +96,7 @@ def test_packed_scores_equal_joined_scores(spark, edges, kind):
     batches = edge_batches(edges, 6, params)
     key = ["batch_id", "eid", "label", "score"]
     joined = sorted(map(tuple, forward(batches, nodes, model).select(key).collect()))
-    packed = packed_forward(pack_batches(batches, nodes, params, False), model, params.fanouts)
+    packed = packed_forward(pack_batches(batches, nodes, params), model, params.fanouts)
     assert np.allclose(joined, sorted(map(tuple, packed.select(key).collect())))
 
 
