@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import sys
 import uuid
@@ -144,6 +147,16 @@ def worker_cache(name: str) -> dict:
     return sys.__dict__.setdefault("_linkloom_caches", {}).setdefault(name, {})
 
 
+def release_caches() -> None:
+    """Forget what earlier operators left in this worker, which Spark uses again for other tasks."""
+    held = sys.__dict__.get("_linkloom_caches")
+    if held:
+        held.clear()
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):  # hand the memory back, where that can be asked for
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def load_tokenizer(path: str):
     """The tokenizer of a file, loaded once per worker; unused truncation and padding are off."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark spreads the work

@@ -10,8 +10,10 @@ A set links to another only if ``percent`` of its shingles occur in other sets.
    links to an indexed one isn't indexed itself, so copies cost a number of links in
    proportion to their group;
 3. the same count over components instead of sets leaves the sets that could still link to
-   another component. They are packed into blocks, and all pairs of blocks that share a token
-   of a prefix are searched the same way, so no link between components is lost.
+   another component. Two of different components overlap in tokens that several components
+   hold and in no others, so sets with the same such tokens and the same size link to the same
+   sets and fold to a class. Classes are packed into blocks, and all pairs of blocks that share a
+   token of a prefix are searched the same way, so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -28,13 +30,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import binaries, lower_ascii, mix, pieces, table, window_hashes, word_hashes
+from linkloom.llm.common import binaries, lower_ascii, mix, pieces, release_caches, table, window_hashes, word_hashes
 from linkloom.llm.components import components
 from linkloom.session import materialise
 
 WIDTH, PERCENT = 5, 75
 #: Fingerprints a bucket holds, shingles a chunk holds, sets and shingles a block holds.
-BUCKET, CHUNK, BLOCK_SETS, BLOCK_SHINGLES = 4_000_000, 1_500_000, 500, 2_000_000
+BUCKET, CHUNK, BLOCK_SETS, BLOCK_SHINGLES = 2_000_000, 1_500_000, 500, 2_000_000
 #: Shares of all shingles; tokens with more than one are broadcast, fewer than this number.
 HEAVY = 100_000
 #: Weight of a probe against a merged element when lists are divided.
@@ -69,6 +71,7 @@ def set_digest(shingles: np.ndarray) -> bytes:
 
 def _text_sets(batch, width: int):
     """``(row in the batch, set)`` of one Arrow batch whose second column is the text."""
+    release_caches()
     texts = binaries(batch.column(1))
     for part in pieces([len(t) for t in texts]):
         yield from zip(range(part.start, part.stop), shingle_sets(texts[part], width))
@@ -147,6 +150,7 @@ def _bucket(tokens: np.ndarray, n_buckets: int) -> np.ndarray:
 
 def _settle(rows: pd.DataFrame) -> pd.DataFrame:
     """One bucket: for each chunk and document, how many of its fingerprints another group holds."""
+    release_caches()
     out = [(r.chunk, r.docs, r.sizes, r.groups, r.many) for r in rows[rows.tokens.isna()].itertuples()]
     rows = rows[rows.tokens.notna()]
     read = lambda column, kind: [np.frombuffer(x, kind) for x in rows[column]]
@@ -360,7 +364,7 @@ def _labelled(sets: DataFrame, found: DataFrame) -> DataFrame:
 
 PACKED = (
     "block long, part long, high_size long, high_component binary, "
-    "names binary, components binary, sizes binary, shingles binary"
+    "names binary, components binary, sizes binary, lengths binary, shingles binary"
 )
 
 
@@ -373,15 +377,16 @@ def _pack(laid: DataFrame) -> DataFrame:
         first, n_blocks, rows, held = TaskContext.get().partitionId() << 32, 0, [], 0
 
         def out():
-            parts, names, sizes, components, shingles = zip(*rows)
+            parts, names, sizes, components, shingles, numbers = zip(*rows)
             row = [first + n_blocks, parts[0], *max(zip(sizes, components)), b"".join(names), b"".join(components)]
+            row += [np.array(numbers, np.int64).tobytes()]
             row += [np.array([len(s) // 8 for s in shingles], np.int64).tobytes(), b"".join(shingles)]
-            kinds = [*[pa.int64()] * 3, *[pa.binary()] * 5]
+            kinds = [*[pa.int64()] * 3, *[pa.binary()] * 6]
             columns = [pa.array([v], k) for v, k in zip(row, kinds)]
             return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in PACKED.split(", ")])
 
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 if rows and (row[0] != rows[0][0] or len(rows) >= BLOCK_SETS or held >= BLOCK_SHINGLES // 8):
                     yield out()
                     n_blocks, rows, held = n_blocks + 1, [], 0
@@ -390,7 +395,7 @@ def _pack(laid: DataFrame) -> DataFrame:
         if rows:
             yield out()
 
-    return laid.select("part", "set_id", "size", "component", "shingles").mapInArrow(run, PACKED)
+    return laid.select("part", "set_id", "size", "component", "shingles", "n").mapInArrow(run, PACKED)
 
 
 def _rare_prefixes(sets: DataFrame, total: int, percent: int) -> DataFrame:
@@ -404,14 +409,7 @@ def _rare_prefixes(sets: DataFrame, total: int, percent: int) -> DataFrame:
     ``total`` is the number of shingles: fewer than HEAVY tokens are in more than total / HEAVY
     sets, so these are broadcast, and no group of the shuffled join is larger than that.
     """
-    def explode(batches):
-        for batch in batches:
-            for no, cno, shingles in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                tokens = np.frombuffer(shingles, np.int64)
-                columns = [pa.array(tokens), pa.array(np.full(len(tokens), no)), pa.array(np.full(len(tokens), cno))]
-                yield pa.RecordBatch.from_arrays(columns, ["token", "no", "cno"])
-
-    tokens = sets.select("no", "cno", "shingles").mapInArrow(explode, "token long, no long, cno long")
+    tokens = sets.select("no", "cno", "shingles").mapInArrow(_explode_tokens, "token long, no long, cno long")
     held = tokens.groupBy("token").agg(F.count("*").alias("held"), F.min("cno").alias("_a"), F.max("cno").alias("_b"))
     held = materialise(held.filter("_a <> _b").select("token", "held"), "held")
     heavy = F.col("held") > total // HEAVY
@@ -427,16 +425,18 @@ def _rare_prefixes(sets: DataFrame, total: int, percent: int) -> DataFrame:
 
 
 class _Block:
-    def __init__(self, names: bytes, components: bytes, sizes: bytes, shingles: bytes):
+    """Classes with their component, the size of their sets, and the tokens they share with others."""
+
+    def __init__(self, names: bytes, components: bytes, sizes: bytes, lengths: bytes, shingles: bytes):
         self.names = [names[i : i + 16] for i in range(0, len(names), 16)]
         self.components = [components[i : i + 16] for i in range(0, len(components), 16)]
-        self.sizes = np.frombuffer(sizes, np.int64)
+        self.sizes, self.lengths = np.frombuffer(sizes, np.int64), np.frombuffer(lengths, np.int64)
         flat = np.frombuffer(shingles, np.uint64)
-        self.sets = np.split(flat, np.cumsum(self.sizes)[:-1])
+        self.sets = np.split(flat, np.cumsum(self.lengths)[:-1])
 
     def index(self):
         """Distinct tokens, where each one's list begins (one entry more), and the lists."""
-        doc = np.repeat(np.arange(len(self.sets)), self.sizes)
+        doc = np.repeat(np.arange(len(self.sets)), self.lengths)
         flat = np.concatenate(self.sets)
         order = np.lexsort((doc, flat))
         tokens, starts = np.unique(flat[order], return_index=True)
@@ -451,8 +451,8 @@ def search_pair(queries: _Block, indexed: _Block, percent: int) -> list[tuple[by
     """
     tokens, starts, lists = indexed.index()
     links = []
-    for name, component, shingles in zip(queries.names, queries.components, queries.sets):
-        n, least = len(shingles), least_overlap(len(shingles), percent)
+    for name, component, n, shingles in zip(queries.names, queries.components, queries.sizes.tolist(), queries.sets):
+        least = least_overlap(n, percent)
         at = np.searchsorted(tokens, shingles)
         at = at[np.take(tokens, at, mode="clip") == shingles]
         if len(at) < least:
@@ -476,12 +476,61 @@ def search_pair(queries: _Block, indexed: _Block, percent: int) -> list[tuple[by
     return links
 
 
+def _explode_tokens(batches):
+    for batch in batches:
+        for no, cno, shingles in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            tokens = np.frombuffer(shingles, np.int64)
+            columns = [pa.array(tokens), pa.array(np.full(len(tokens), no)), pa.array(np.full(len(tokens), cno))]
+            yield pa.RecordBatch.from_arrays(columns, ["token", "no", "cno"])
+
+
+_MEMBERS = "class binary, set_id binary, n long, size long, component binary, key long, cno long, shingles binary"
+
+
+def _classes(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Sets of ``sets(no, cno, n, ..)`` folded by size and by the tokens that several components hold.
+
+    Returns the members and the classes, whose ``shingles`` are just those tokens. Sets with too
+    few of them for any link are left out. A class of one component keeps it, one of several is a
+    component of its own.
+    """
+    tokens = sets.select("no", "cno", "shingles").mapInArrow(_explode_tokens, "token long, no long, cno long")
+    held = tokens.groupBy("token").agg(F.min("cno").alias("_a"), F.max("cno").alias("_b")).filter("_a <> _b")
+    held = materialise(held.select("token"), "held")
+    shared = tokens.join(held, "token").groupBy("no").agg(F.sort_array(F.collect_list("token")).alias("shared"))
+    shared = sets.drop("shingles").join(shared, "no").filter(F.size("shared") >= F.expr(f"({percent} * n + 99) div 100"))
+    names = [x.split()[0] for x in _MEMBERS.split(", ")]
+
+    def run(batches):
+        for batch in batches:
+            lists = [np.array(x, np.int64).tobytes() for x in batch.column("shared").to_pylist()]
+            sizes = batch.column("n").to_pylist()
+            digests = [hashlib.blake2b(x + n.to_bytes(8, "little"), digest_size=16).digest() for x, n in zip(lists, sizes)]
+            rest = [batch.column(c) for c in names[1:-1]]
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), *rest, pa.array(lists, pa.binary())], names)
+
+    members = materialise(shared.select(*names[1:-1], "shared").mapInArrow(run, _MEMBERS), "members")
+    folded = members.groupBy("class").agg(
+        *[F.min(c).alias(c) for c in ("set_id", "key", "size", "component", "cno")],
+        *[F.first(c).alias(c) for c in ("n", "shingles")],
+        F.max("component").alias("_last"),
+    )
+    several = F.col("component") != F.col("_last")
+    folded = folded.withColumns(
+        {"several": several, "no": F.monotonically_increasing_id(), "size": F.when(several, 2).otherwise(F.col("size")),
+         "component": F.when(several, F.col("class")).otherwise(F.col("component"))}
+    )
+    folded = materialise(folded.drop("_last"), "classes_of_sets")
+    return members, folded.withColumn("cno", F.when(F.col("several"), -1 - F.col("no")).otherwise(F.col("cno")))
+
+
 def _between_components(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame | None:
-    """Links between components, at least one wherever two are linked; None if there can't be any.
+    """Links that join all components with links between them; None if there can't be any.
 
-    Sets that could link elsewhere are packed into blocks, small components apart from large
-    ones. A set is searched for in the blocks that hold a token of its prefix in one of theirs
-    and a component after its own; two linked sets always share one.
+    Sets that could link elsewhere are folded to classes and packed into blocks, small components
+    apart from large ones. A class is searched for in the blocks that hold a token of its prefix
+    in one of theirs and a component after its own; two linked classes always share one. Where a
+    class links to itself or to another, its members of different components are linked.
     """
     labelled = _labelled(sets.select("set_id", "n", "k0", "shingles"), found)
     total = labelled.agg(F.sum("n")).first()[0] or 0
@@ -497,7 +546,14 @@ def _between_components(sets: DataFrame, found: DataFrame, percent: int) -> Data
     ranks = left.groupBy("component").agg(F.count("*").alias("size"), F.min("k0").alias("key"))
     ranks = materialise(ranks.withColumn("cno", F.monotonically_increasing_id()), "ranks")
     left = materialise(left.join(ranks, "component").withColumn("no", F.monotonically_increasing_id()), "ranked")
-    n_open = left.agg(F.sum("n")).first()[0]
+    members, left = _classes(left, percent)
+    firsts = members.groupBy("class", "component").agg(F.min("set_id").alias("b"))
+    firsts = firsts.join(left.filter("several").select("class", F.col("set_id").alias("a")), "class").filter("a <> b")
+    firsts = materialise(firsts.select("class", "a", "b"), "class_members")
+    itself = F.expr(f"100 * (length(shingles) div 8) >= {percent} * (2 * n - length(shingles) div 8)")
+    own = firsts.join(left.filter("several").filter(itself).select("class"), "class", "left_semi").select("a", "b")
+
+    n_open = left.agg(F.sum(F.expr("length(shingles) div 8"))).first()[0] or 0
     prefixes = materialise(_rare_prefixes(left, n_open, percent), "prefixes")
     left = left.join(prefixes.select("no").distinct(), "no", "left_semi")
     by = [F.col("size") > 1, "key", "size", "component", "set_id"]
@@ -521,21 +577,23 @@ def _between_components(sets: DataFrame, found: DataFrame, percent: int) -> Data
     smaller = (F.col("size") < F.col("high_size")) | (same & (F.col("component") < F.col("high_component")))
     routed = asked.join(held, "token").filter(smaller).select("set_id", F.col("block").alias("part")).distinct()
     routed = materialise(routed, "routed")
-    queries = routed.join(left.select("set_id", "size", "component", "shingles"), "set_id")
+    queries = routed.join(left.select("set_id", "size", "component", "shingles", "n"), "set_id")
     queries = _pack(queries.repartitionByRange("part", "set_id").sortWithinPartitions("part", "set_id"))
 
     def search(batches):
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                links = search_pair(_Block(*row[:4]), _Block(*row[4:]), percent)
+                links = search_pair(_Block(*row[:5]), _Block(*row[5:]), percent)
                 if links:
                     yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*links)], ["a", "b"])
 
-    parts = ("names", "components", "sizes", "shingles")
+    parts = ("names", "components", "sizes", "lengths", "shingles")
     q = queries.select("part", *(F.col(c).alias(f"q_{c}") for c in parts))
     i = blocks.select(F.col("block").alias("part"), *(F.col(c).alias(f"i_{c}") for c in parts))
     both = materialise(q, "queries").join(i, "part").select(*(f"{x}_{c}" for x in "qi" for c in parts))
-    return both.mapInArrow(search, "a binary, b binary")
+    links = materialise(both.mapInArrow(search, "a binary, b binary"), "class_links")
+    linked = links.select("a").union(links.select("b")).distinct()
+    return links.union(own).union(firsts.join(linked, "a", "left_semi").select("a", "b"))
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Search between components against brute force; every set is a component of its own."""
+"""Search between components against brute force; every set begins as a component of its own."""
 
 import itertools
 import random
@@ -36,4 +36,48 @@ def test_between_components_finds_every_link(spark, monkeypatch, heavy):
     table = spark.createDataFrame(rows, "set_id binary, n long, k0 long, shingles binary")
     none = spark.createDataFrame([], "node binary, component binary")
     links = jaccard._between_components(table, none, 75).collect()
-    assert wanted and {frozenset((names[bytes(r.a)], names[bytes(r.b)])) for r in links} == wanted
+    found = {frozenset((names[bytes(r.a)], names[bytes(r.b)])) for r in links}
+    assert wanted and joined(found, len(sets)) == joined(wanted, len(sets))
+
+
+def joined(links, n):
+    """The smallest member of each one's component."""
+    least = list(range(n))
+    for _ in range(n):
+        for link in links:
+            low = min(least[i] for i in link)
+            for i in link:
+                least[i] = low
+    return least
+
+
+def test_a_common_passage_routes_in_proportion(spark, monkeypatch):
+    """Texts of one passage and little else: what is searched grows with their number, not its square."""
+
+    def routed(n):
+        sizes = {}
+        whole = jaccard.materialise
+
+        def counted(df, label, *more):
+            out = whole(df, label, *more)
+            sizes[label] = sizes.get(label, 0) + out.count()
+            return out
+
+        monkeypatch.setattr(jaccard, "materialise", counted)
+        draw = random.Random(n)
+        passage = draw.sample(range(1, 1 << 62), 40)
+        sets = [np.sort(np.array(passage + draw.sample(range(1, 1 << 62), draw.randint(7, 13)), np.uint64)) for _ in range(n)]
+        rows = [(bytearray(jaccard.set_digest(s)), len(s), i, bytearray(s.tobytes())) for i, s in enumerate(sets)]
+        table = spark.createDataFrame(rows, "set_id binary, n long, k0 long, shingles binary")
+        none = spark.createDataFrame([], "node binary, component binary")
+        links = {frozenset((bytes(r.a), bytes(r.b))) for r in jaccard._between_components(table, none, 75).collect()}
+        names = {jaccard.set_digest(s): i for i, s in enumerate(sets)}
+        links = [{names[x] for x in link} for link in links]
+        brute = [
+            {i, j} for (i, a), (j, b) in itertools.combinations(enumerate(sets), 2) if 100 * 40 >= 75 * (len(a) + len(b) - 40)
+        ]
+        assert joined(links, n) == joined(brute, n)
+        return sizes["routed"] + sizes["prefixes"], len(links)
+
+    few, many = routed(60), routed(240)
+    assert many[0] <= few[0] * 2 and many[1] <= 240 + 20
