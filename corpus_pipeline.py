@@ -22,13 +22,19 @@ LEAST_POSTERIOR = 0.5
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the classifier predicts to be good."""
+    """Documents the classifier predicts to be good; rows without text and repeated rows are scored like others.
+
+    Decided by row, null and repeated ids included; an empty table stays empty.
+    """
     scored = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")), carry=True)
     return scored.filter("predicted = 1").select("row.*")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language."""
+    """Documents with a recognised language; a text that is null or has no letter has none and goes.
+
+    Decided by row; languages as likely as each other go by name. An empty table stays empty.
+    """
     path = vocabulary_path("piece_bpe_32k.model")
     model = fit_languages(docs.filter(id_remainder("doc_id", 3) != 1), path)
     named = predict_languages(docs, model, path, carry=True)
@@ -40,16 +46,21 @@ def jaccard_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Rows are told apart by a key of their own: ids may repeat or be null.
     """
-    keyed = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
-    found = jaccard_components(keyed.select(F.col("_row").alias("doc_id"), "text"))
-    placed = found.select(F.col("doc_id").alias("_row"), "component_id").join(keyed.select("_row", "doc_id"), "_row")
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("first")
-    kept = placed.groupBy("component_id").agg(first).select("first._row")
-    return keyed.join(kept, "_row", "left_semi").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row"))
+    keyed = materialise(rows, "keyed")
+    found = jaccard_components(keyed.select(F.col("row").alias("doc_id"), "doc.text"))
+    placed = found.select(F.col("doc_id").alias("row"), "component_id").join(keyed.select("row", "doc.doc_id"), "row")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
+    kept = placed.groupBy("component_id").agg(first).select("first.row")
+    return keyed.join(kept, "row", "left_semi").select("doc.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 ids, each from one document, with the ids."""
+    """Sequences of at most 2048 ids, each from one document, with the ids.
+
+    A null text counts as empty and gives its end id alone; rows with null or repeated ids are
+    packed like others. An empty table gives no sequences.
+    """
     packed = pack_documents(docs, vocabulary_path("byte_bpe_50k.json"))
     return packed.withColumn("ids_crc32", F.crc32("ids"))
 
