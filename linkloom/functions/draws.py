@@ -12,9 +12,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _SPAN, _FINE_SPAN = 4294967296.0, 4503599627370496.0
-#: Indices below more than this are drawn with 52 bits; 32 are even enough below.
-MANY = 1 << 20
-
 
 def _digest(seed: int, keys: tuple[Column, ...]) -> Column:
     return F.md5(F.concat_ws(":", *[k.cast("string") for k in keys], F.lit(str(seed))))
@@ -24,8 +21,8 @@ def _unit(digest: Column, start: int) -> Column:
     return F.conv(F.substring(digest, start, 8), 16, 10).cast("bigint") / F.lit(_SPAN)
 
 
-def _fine_unit(digest: Column) -> Column:
-    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint") / F.lit(_FINE_SPAN)
+def _fine_unit(digest: Column, start: int = 1) -> Column:
+    return F.conv(F.substring(digest, start, 13), 16, 10).cast("bigint") / F.lit(_FINE_SPAN)
 
 
 def draw(seed: int, *keys: Column) -> Column:
@@ -34,10 +31,9 @@ def draw(seed: int, *keys: Column) -> Column:
 
 
 def draw_index(seed: int, n: Column | int, *keys: Column) -> Column:
-    """Uniform integer in [0, n)."""
+    """Uniform integer in [0, n), from 52 bits."""
     bound = n if isinstance(n, Column) else F.lit(n)
-    u = F.when(bound > MANY, _fine_unit(_digest(seed, keys))).otherwise(draw(seed, *keys))
-    return F.floor(u * bound).cast("bigint")
+    return F.floor(_fine_unit(_digest(seed, keys)) * bound).cast("bigint")
 
 
 def normal(seed: int, *keys: Column) -> Column:
@@ -47,15 +43,10 @@ def normal(seed: int, *keys: Column) -> Column:
     return radius * F.cos(F.lit(2.0 * math.pi) * _unit(digest, 9))
 
 
-def draws(seed: int, n: int, *keys: Column) -> Column:
-    """``n`` uniforms as an array; one digest serves four of them."""
-    digests = [_digest(seed, (*keys, F.lit(block))) for block in range(-(-n // 4))]
-    return F.array(*[_unit(digests[i // 4], 8 * (i % 4) + 1) for i in range(n)])
-
-
 def fine_draws(seed: int, n: int, *keys: Column) -> Column:
-    """``n`` uniforms of 52 bits as an array, for indices below more than ``MANY``."""
-    return F.array(*[_fine_unit(_digest(seed, (*keys, F.lit(i)))) for i in range(n)])
+    """``n`` uniforms of 52 bits as an array, for indices; one digest serves two of them."""
+    digests = [_digest(seed, (*keys, F.lit(block))) for block in range(-(-n // 2))]
+    return F.array(*[_fine_unit(digests[i // 2], 13 * (i % 2) + 1) for i in range(n)])
 
 
 def driver_draw(seed: int, *keys) -> float:

@@ -20,7 +20,8 @@ from linkloom.functions.draws import draw
 from linkloom.model import SageModel, drawn_model
 from linkloom.operators.graph import build_edges, count_nodes, node_features
 from linkloom.operators.ordering import assign_batches, positional_index, split_edges
-from linkloom.session import materialise, scratch_path, spread
+from linkloom.plans.lockstep import write_file
+from linkloom.session import materialise, scratch_path, shared_file, spread
 from linkloom.streaming.jobs import silver_rows
 
 # Fixed values shared with the comparison SQL.
@@ -196,3 +197,17 @@ def zipped(df: DataFrame, keys: list[str]) -> DataFrame:
         F.to_json(F.struct(*df.columns)).alias("line"),
     )
     return lines.groupBy("archive_id").applyInPandas(pack, "path string, content binary")
+
+
+def write_zipped(df: DataFrame, keys: list[str], folder: str) -> None:
+    """The archives of ``zipped`` as files of a folder, written by the tasks."""
+
+    def write(batches):
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                system, root = shared_file(folder)
+                system.create_dir(root, recursive=True)
+                write_file(system, f"{root}/{name}", content)
+            yield batch.select(["path"])
+
+    zipped(df, keys).mapInArrow(write, "path string").write.format("noop").mode("overwrite").save()

@@ -26,6 +26,10 @@ def unit(text: str, start: int = 1) -> str:
     return f"(('0x' || substr({text}, {start}, 8))::BIGINT / 4294967296.0::DOUBLE)"
 
 
+def fine_unit(text: str, start: int = 1) -> str:
+    return f"(('0x' || substr({text}, {start}, 13))::BIGINT / 4503599627370496.0::DOUBLE)"
+
+
 def draw(seed: int, *keys: str) -> str:
     return unit(digest(seed, *keys))
 
@@ -264,7 +268,7 @@ def neighbour_pieces(name: str, seeds: str, slots: str, layer: int, fanout: int
     columns = []
     for i in range(fanout):
         last = f"(degree - {fanout - i})"
-        u = unit(digest(RUN.seed, str(layer), "batch_id", "dst", str(i // 4)), 8 * (i % 4) + 1)
+        u = fine_unit(digest(RUN.seed, str(layer), "batch_id", "dst", str(i // 2)), 13 * (i % 2) + 1)
         t = f"floor({u} * ({last} + 1))::BIGINT"
         columns.append(f"{t} AS t{i}")
         taken = ", ".join(f"c{j}" for j in range(i))
@@ -285,7 +289,7 @@ JOIN {slots}_slots s ON s.dst = p.dst AND s.slot = p.slot""",
 
 def negatives(source: str, k: int, seed: int, extra: str = "") -> str:
     """Corruptions; the draw's bound is the node count."""
-    return f"""SELECT eid, nth, src, floor({draw(seed, 'eid', 'nth')} * n)::BIGINT AS dst{extra}
+    return f"""SELECT eid, nth, src, floor({fine_unit(digest(seed, 'eid', 'nth'))} * n)::BIGINT AS dst{extra}
 FROM {source}, (SELECT unnest(range(0, {k}))::INTEGER AS nth), n_nodes"""
 
 
@@ -629,6 +633,12 @@ LEFT JOIN patients p ON p.id = src_id LEFT JOIN providers q ON q.id = dst_id""",
             "patients",
             "providers",
         ),
+        "archive_stream": sql(f"SELECT {BRONZE}, {r6('probability')} AS probability FROM bronze", "bronze"),
+        "widening_records": sql(
+            f"""SELECT {K}, CASE WHEN l_linenumber <= 2 THEN floor(probability * 10) WHEN l_linenumber <= 5 THEN {r6('probability')} END AS score,
+l_linenumber > 5 AS aside FROM bronze""",
+            "bronze",
+        ),
         "company_endings": "SELECT c_custkey, c_name AS name FROM customer",
         "encode_ids": sql(
             f"""SELECT {K}, s.number AS src, t.number AS dst FROM bronze

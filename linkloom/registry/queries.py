@@ -22,7 +22,8 @@ from linkloom.plans.gold import score_relations, stored_embeddings
 from linkloom.plans.train import metric_rows, train, train_head
 from linkloom.registry import fixtures as fx
 from linkloom.session import materialise, scratch_path
-from linkloom.sources import archives, landing, tables
+from linkloom.sources import archives, landing, tables, widening
+from linkloom.sources.archive_stream import stream_archives
 from linkloom.streaming import jobs
 from linkloom.streaming.fresh import FreshEmbeddings, fresh_gold
 
@@ -78,6 +79,38 @@ def land_archive(spark, sf):
     )
 
 
+@query
+def archive_stream(spark, sf):
+    """Zipped files added between two runs of a stream, each read once."""
+    folder, log = scratch_path(spark, "archives"), scratch_path(spark, "archives-log")
+    out, checkpoint, rows = scratch_path(spark, "lines"), scratch_path(spark, "ckpt"), fx.bronze(spark, sf)
+    for step, part in enumerate((rows.filter("l_linenumber <= 3"), rows.filter("l_linenumber > 3"))):
+        fx.write_zipped(part, KEYS, f"{folder}/{step}")
+        jobs.append_stream(stream_archives(spark, folder, log), checkpoint, path=out)
+    lines = spark.read.parquet(out)
+    return lines.select(F.from_json("line", rows.schema).alias("r")).select("r.*").transform(rounded, "probability")
+
+
+@query
+def widening_records(spark, sf):
+    """One field that comes as whole numbers, then as fractions, then as text, in three runs."""
+    rows, landing_path = fx.bronze(spark, sf), scratch_path(spark, "landing")
+    places = [scratch_path(spark, x) for x in ("schema", "ckpt", "records")]
+    kinds = {
+        "l_linenumber <= 2": F.floor(F.col("probability") * 10),
+        "l_linenumber in (3, 4, 5)": F.round("probability", 6),
+        "l_linenumber > 5": F.concat(F.lit("about "), F.col("probability").cast("string")),
+    }
+    for step, (some, score) in enumerate(kinds.items()):
+        rows.filter(some).select(*KEYS, score.alias("score")).write.json(f"{landing_path}/{step}")
+        widening.land_records(spark, f"{landing_path}/*", *places)
+    records = widening.read_records(spark, places[2], places[0])
+    told = F.coalesce(F.from_json(landing.RESCUED, ", ".join(f"{k} long" for k in KEYS)), F.struct(*KEYS))
+    keyed = records.withColumn("_k", told)
+    keys = [F.col(f"_k.{k}").cast(rows.schema[k].dataType).alias(k) for k in KEYS]
+    return keyed.select(*keys, r6(F.col("score")).alias("score"), F.col(landing.RESCUED).isNotNull().alias("aside"))
+
+
 def _landed(spark, df: DataFrame) -> tuple[str, str]:
     return fx.landing_json(df), scratch_path(spark, "schema")
 

@@ -52,16 +52,16 @@ def evolve_schema(spark: SparkSession, sample: str, location: str) -> T.StructTy
     Versions are separate folders, so a failed write leaves the last one whole.
     """
     _, old = stored_schema(spark, location)
-    seen = _inferred(spark, sample)
-    return _remember(spark, location, seen if old is None else merge_schemas(old, seen))
+    seen = inferred_schema(spark, sample)
+    return remember_schema(spark, location, seen if old is None else merge_schemas(old, seen))
 
 
-def _inferred(spark: SparkSession, files: str | list[str]) -> T.StructType:
+def inferred_schema(spark: SparkSession, files: str | list[str]) -> T.StructType:
     seen = spark.read.option("columnNameOfCorruptRecord", RESCUED).json(files).schema
     return T.StructType([f for f in seen.fields if f.name != RESCUED])
 
 
-def _remember(spark: SparkSession, location: str, merged: T.StructType) -> T.StructType:
+def remember_schema(spark: SparkSession, location: str, merged: T.StructType) -> T.StructType:
     version, old = stored_schema(spark, location)
     if merged != old and merged.fields:  # an empty first file tells nothing
         text = spark.createDataFrame([(merged.json(),)], "value string")
@@ -117,8 +117,8 @@ def read_landing_stream(
     _, schema = stored_schema(spark, schema_location)
     files = unseen_files(spark, path, checkpoint)
     if files:
-        seen = _inferred(spark, files)
-        schema = _remember(spark, schema_location, seen if schema is None else with_new_fields(schema, seen))
+        seen = inferred_schema(spark, files)
+        schema = remember_schema(spark, schema_location, seen if schema is None else with_new_fields(schema, seen))
     reader = spark.readStream
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -1,8 +1,8 @@
-"""Indices below very large numbers reach every remainder; those below small ones stay as they were."""
+"""Indices below very large numbers reach every remainder, by one formula for all bounds."""
 
 from pyspark.sql import functions as F
 
-from linkloom.functions.draws import draw, draw_index
+from linkloom.functions.draws import draw_index
 from linkloom.operators.sampling import choose_slots
 
 
@@ -16,6 +16,8 @@ def test_large_bounds_are_drawn_finely(spark):
     assert 0 <= min(slots) and max(slots) < n and len({d % 256 for d in slots}) == 256
 
 
-def test_small_bounds_keep_their_draws(spark):
-    same = draw_index(7, 16_000, F.col("id")) == F.floor(draw(7, F.col("id")) * 16_000)
-    assert spark.range(1000).filter(same).count() == 1000
+def test_one_more_node_changes_few_draws(spark):
+    ids = spark.range(4000)
+    for n in (1000, 1 << 20, 1 << 21):
+        same = draw_index(7, n, F.col("id")) == draw_index(7, n + 1, F.col("id"))
+        assert ids.filter(same).count() > 1000
