@@ -11,13 +11,14 @@ import io
 import zipfile
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.config import Params
-from linkloom.functions.draws import draw
-from linkloom.model import SageModel, drawn_model
+from linkloom.functions.draws import draw, driver_draw
+from linkloom.model import SageLayer, SageModel, drawn_model
 from linkloom.operators.graph import build_edges, count_nodes, node_features
 from linkloom.operators.ordering import assign_batches, positional_index, split_edges
 from linkloom.plans.lockstep import write_file
@@ -28,6 +29,7 @@ from linkloom.streaming.jobs import silver_rows
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 PURCHASER_ENDINGS = (" LLC", ", Ltd.", " Inc", "")
 WIDTHS = (4, 8, 4)
+WIDE, WIDE_LAYER = (15, 20), 5
 MODEL_SEED = 3
 FEATURE_SEED = 5
 RUN = Params(num_negative_samples=3, num_node_features=4, num_hidden_graph_layers=8)
@@ -119,6 +121,18 @@ def model(kind: str = "mean") -> SageModel:
     return drawn_model(WIDTHS, kind, MODEL_SEED)
 
 
+def wide_layer(kind: str = "mean") -> SageLayer:
+    """One convolution of the untuned run's size; its weights are drawn as layer WIDE_LAYER."""
+    n_in, n_out = WIDE
+    shapes = {"self": (n_out, n_in), "neigh": (n_out, n_in), "bias": (n_out, 1), "pool": (n_in, n_in), "pool_bias": (n_in, 1)}
+    drawn = {}
+    for part, shape in shapes.items():
+        values = [driver_draw(MODEL_SEED, WIDE_LAYER, part, *at) - 0.5 for at in np.ndindex(shape)]
+        drawn[part] = np.array(values).reshape(shape)
+    pool = (drawn["pool"], drawn["pool_bias"][:, 0]) if kind != "mean" else (None, None)
+    return SageLayer(drawn["self"], drawn["neigh"], drawn["bias"][:, 0], kind, *pool)
+
+
 def batched(spark: SparkSession, sf: str) -> DataFrame:
     """All silver edges in shuffled batches."""
     return once(

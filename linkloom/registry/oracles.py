@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 
 from linkloom.functions.names import ENDING_PATTERN, ONLY_ENDINGS
-from linkloom.registry.fixtures import FEATURE_SEED, KEYS, MODEL_SEED, RUN, WIDTHS
+from linkloom.registry.fixtures import FEATURE_SEED, KEYS, MODEL_SEED, RUN, WIDE, WIDE_LAYER, WIDTHS
 
 K = ", ".join(KEYS)
 BRONZE = f"{K}, src_id, dst_id, Purchaser, Seller"
@@ -124,6 +124,12 @@ piece(
 FROM nodes, (SELECT unnest(range(0, {WIDTHS[0]})) AS pos)""",
     "nodes",
 )
+piece(
+    "wide_x",
+    f"""SELECT id, pos, {normal(FEATURE_SEED, 'id', 'pos')} AS v
+FROM nodes, (SELECT unnest(range(0, {WIDE[0]})) AS pos)""",
+    "nodes",
+)
 piece(
     "batched",
     f"""SELECT *, (row_number() OVER (ORDER BY {draw(RUN.seed, 'eid')}, eid) - 1) // {RUN.batch_size} AS batch_id
@@ -161,7 +167,8 @@ def _weights() -> None:
 FROM (SELECT unnest(range(0, {n_out})) AS o), (SELECT unnest(range(0, {n_in})) AS i)"""
 
     grids = []
-    for nth, (n_in, n_out) in enumerate(zip(WIDTHS, WIDTHS[1:]), start=1):
+    sizes = [*enumerate(zip(WIDTHS, WIDTHS[1:]), start=1), (WIDE_LAYER, WIDE)]
+    for nth, (n_in, n_out) in sizes:
         grids += [grid(nth, "self", n_out, n_in), grid(nth, "neigh", n_out, n_in)]
         grids += [grid(nth, "bias", n_out, 1)]
         grids += [grid(nth, "pool", n_in, n_in), grid(nth, "pool_bias", n_in, 1)]
@@ -222,6 +229,8 @@ JOIN w ON layer = {layer} AND part = 'bias' AND o = pos GROUP BY {key}id, pos"""
 
 for _kind in ("mean", "pool", "mean_pool"):
     layer_pieces(f"h1_{_kind}", "links", "x", 1, _kind, True)
+for _kind in ("mean", "pool"):
+    layer_pieces(f"wide_{_kind}", "links", "wide_x", WIDE_LAYER, _kind, True)
 for _kind in ("mean", "pool"):
     layer_pieces(f"h2_{_kind}", "links", f"h1_{_kind}", 2, _kind, True)
 layer_pieces("emb", "links", "h1_mean", 2, "mean", False)
@@ -293,6 +302,18 @@ def negatives(source: str, k: int, seed: int, extra: str = "") -> str:
 FROM {source}, (SELECT unnest(range(0, {k}))::INTEGER AS nth), n_nodes"""
 
 
+SPLITS = {"tr": "training", "va": "validation", "te": "testing"}
+
+
+def each_split(text: str) -> str:
+    """``text`` for all three splits, stacked; ``{s}`` and ``{split}`` name one."""
+    filled = [
+        text.replace("{split}", split).replace("{s}", s).replace("{negatives}", negatives(f"{s}_edges", 1, 7))
+        for s, split in SPLITS.items()
+    ]
+    return "\nUNION ALL ".join(filled)
+
+
 slot_pieces("all", "edges")
 piece("batch_ends", "SELECT DISTINCT batch_id, dst AS id FROM batched", "batched")
 neighbour_pieces("batch_neighbours", "batch_ends", "all", 1)
@@ -452,6 +473,14 @@ FROM ({apply_weights('x', 1, 'self')}) JOIN w ON layer = 1 AND part = 'bias' AND
             "x",
             "w",
         ),
+        "linear_wide": sql(
+            f"""SELECT id, {elements('v + w', WIDE[1], 'y')}
+FROM ({apply_weights('wide_x', WIDE_LAYER, 'self')}) JOIN w ON layer = {WIDE_LAYER} AND part = 'bias' AND o = pos GROUP BY id""",
+            "wide_x",
+            "w",
+        ),
+        "sage_layer_wide": _h("wide_mean", WIDE[1]),
+        "sage_layer_pool_wide": _h("wide_pool", WIDE[1]),
         "positional_index": f"SELECT {K}, row_number() OVER (ORDER BY {K}) - 1 AS pos FROM lineitem",
         "running_totals": """SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, n,
 coalesce(sum(n) OVER (ORDER BY o_orderdate ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS n_before
@@ -494,12 +523,12 @@ FROM edges JOIN x u ON u.id = src JOIN x t ON t.id = dst AND t.pos = u.pos GROUP
             "x",
         ),
         "frontier": sql(
-            f"SELECT eid, src, dst FROM edges WHERE dst IN (SELECT dst FROM ({negatives('te_edges', 1, 7)}))",
+            each_split("SELECT eid, src, dst, '{split}' AS split FROM edges WHERE dst IN (SELECT dst FROM ({negatives}))"),
             "edges",
-            "te_edges",
+            *[f"{s}_edges" for s in SPLITS],
             "n_nodes",
         ),
-        "negative_edges": sql(negatives("tr_edges", 3, 7), "tr_edges", "n_nodes"),
+        "negative_edges": sql(negatives("edges", 3, 7, ", split"), "edges", "n_nodes"),
         "strict_negatives": sql(
             f"""SELECT eid, nth, src, dst FROM ({negatives('edges', 3, 7)}) g
 WHERE NOT EXISTS (SELECT 1 FROM links e WHERE e.src = g.src AND e.dst = g.dst)""",
@@ -508,27 +537,29 @@ WHERE NOT EXISTS (SELECT 1 FROM links e WHERE e.src = g.src AND e.dst = g.dst)""
             "n_nodes",
         ),
         "label_and_stack": sql(
-            f"""SELECT eid, src, dst, 1 AS label FROM va_edges UNION ALL
-SELECT eid, src, dst, 0 FROM ({negatives('va_edges', 3, 7)})""",
-            "va_edges",
+            f"""SELECT eid, src, dst, 1 AS label, split FROM edges UNION ALL
+SELECT eid, src, dst, 0, split FROM ({negatives('edges', 3, 7, ', split')})""",
+            "edges",
             "n_nodes",
         ),
         "sample_neighbours": sql("SELECT batch_id, dst, src, eid FROM batch_neighbours", "batch_neighbours"),
         "sample_blocks": sql(
-            """SELECT batch_id, 2 AS layer, dst, src, eid FROM va_outer UNION ALL
-SELECT batch_id, 1, dst, src, eid FROM va_inner""",
-            "va_outer",
-            "va_inner",
+            each_split(
+                """SELECT batch_id, 2 AS layer, dst, src, eid, '{split}' AS split FROM {s}_outer UNION ALL
+SELECT batch_id, 1, dst, src, eid, '{split}' FROM {s}_inner"""
+            ),
+            *[f"{s}_{x}" for s in SPLITS for x in ("outer", "inner")],
         ),
         "edge_batch_sizes": sql(
-            """SELECT batch_id, n_pos::BIGINT AS n_pos, n_neg::BIGINT AS n_neg, n_seeds,
-coalesce(n_inner, 0) AS n_inner, coalesce(n_outer, 0) AS n_outer
-FROM (SELECT batch_id, sum(label) AS n_pos, sum(1 - label) AS n_neg FROM tr_pairs GROUP BY batch_id)
-JOIN (SELECT batch_id, count(*) AS n_seeds FROM tr_seeds GROUP BY batch_id) USING (batch_id)
-LEFT JOIN (SELECT batch_id, count(*) AS n_inner FROM tr_inner GROUP BY batch_id) USING (batch_id)
-LEFT JOIN (SELECT batch_id, count(*) AS n_outer FROM tr_outer GROUP BY batch_id) USING (batch_id)""",
-            "tr_inner",
-            "tr_outer",
+            each_split(
+                """SELECT batch_id, n_pos::BIGINT AS n_pos, n_neg::BIGINT AS n_neg, n_seeds,
+coalesce(n_inner, 0) AS n_inner, coalesce(n_outer, 0) AS n_outer, '{split}' AS split
+FROM (SELECT batch_id, sum(label) AS n_pos, sum(1 - label) AS n_neg FROM {s}_pairs GROUP BY batch_id)
+JOIN (SELECT batch_id, count(*) AS n_seeds FROM {s}_seeds GROUP BY batch_id) USING (batch_id)
+LEFT JOIN (SELECT batch_id, count(*) AS n_inner FROM {s}_inner GROUP BY batch_id) USING (batch_id)
+LEFT JOIN (SELECT batch_id, count(*) AS n_outer FROM {s}_outer GROUP BY batch_id) USING (batch_id)"""
+            ),
+            *[f"{s}_{x}" for s in SPLITS for x in ("inner", "outer")],
         ),
         "neighbour_mean": _agg("h1_mean_agg"),
         "neighbour_mean_stored": sql(
@@ -558,7 +589,8 @@ FROM edges JOIN x u ON u.id = src JOIN x t ON t.id = dst AND t.pos = u.pos GROUP
             "x",
         ),
         "forward": sql(
-            f"SELECT batch_id, eid, nth, label, {r6('score')} AS score FROM tr_scores", "tr_scores"
+            each_split(f"SELECT split, batch_id, eid, nth, label, {r6('score')} AS score FROM {{s}}_scores"),
+            *[f"{s}_scores" for s in SPLITS],
         ),
         "predict_links": sql(
             f"SELECT {K}, {predicted} FROM scored WHERE probability >= 0.55::DOUBLE", "scored"

@@ -290,6 +290,13 @@ def linear(spark, sf):
 # Order, splits, batches, samples
 
 
+@query
+def linear_wide(spark, sf):
+    layer = fx.wide_layer()
+    x = fx.node_x(spark, sf, fx.WIDE[0]).select("id", V.linear(F.col("x"), layer.self_, layer.bias).alias("y"))
+    return x.select("id", *spread("y", fx.WIDE[1], "y"))
+
+
 @query
 def positional_index(spark, sf):
     return ordering.positional_index(fx.bronze(spark, sf).select(*KEYS), KEYS)
@@ -374,18 +381,31 @@ def endpoint_pairs(spark, sf):
     return pairs.select("eid", *spread("h_u", fx.WIDTHS[0], "u"), *spread("h_v", fx.WIDTHS[0], "v"))
 
 
+SPLITS = "training", "validation", "testing"
+
+
+def _each_split(build) -> DataFrame:
+    """``build(split)`` of all three splits, with the split as a column."""
+    parts = [build(s).withColumn("split", F.lit(s)) for s in SPLITS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query
 def frontier(spark, sf):
-    """In-edges of the nodes reached by corrupting the testing edges."""
-    reached = sampling.negative_edges(fx.split(spark, sf, "testing"), fx.n_nodes(spark, sf), 1, 7)
-    seeds = reached.select(F.col("dst").alias("id")).distinct()
-    return sampling.frontier(fx.edges(spark, sf), seeds).select("eid", "src", "dst")
+    """In-edges of the nodes reached by corrupting the edges of each split."""
+
+    def reach(split):
+        reached = sampling.negative_edges(fx.split(spark, sf, split), fx.n_nodes(spark, sf), 1, 7)
+        seeds = reached.select(F.col("dst").alias("id")).distinct()
+        return sampling.frontier(fx.edges(spark, sf), seeds).select("eid", "src", "dst")
+
+    return _each_split(reach)
 
 
 @query
 def negative_edges(spark, sf):
-    drawn = sampling.negative_edges(fx.split(spark, sf, "training"), fx.n_nodes(spark, sf), 3, 7)
-    return drawn.select("eid", "nth", "src", "dst")
+    drawn = sampling.negative_edges(fx.edges(spark, sf), fx.n_nodes(spark, sf), 3, 7)
+    return drawn.select("eid", "nth", "src", "dst", "split")
 
 
 @query
@@ -397,9 +417,9 @@ def strict_negatives(spark, sf):
 
 @query
 def label_and_stack(spark, sf):
-    edges = fx.split(spark, sf, "validation")
+    edges = fx.edges(spark, sf)
     drawn = sampling.negative_edges(edges, fx.n_nodes(spark, sf), 3, 7)
-    return sampling.label_and_stack(edges, drawn.drop("nth")).select("eid", "src", "dst", "label")
+    return sampling.label_and_stack(edges, drawn.drop("nth")).select("eid", "src", "dst", "label", "split")
 
 
 @query
@@ -420,13 +440,16 @@ def _batches(spark, sf, split):
 
 @query
 def sample_blocks(spark, sf):
-    return _batches(spark, sf, "validation").blocks.select("batch_id", "layer", "dst", "src", "eid")
+    return _each_split(lambda s: _batches(spark, sf, s).blocks.select("batch_id", "layer", "dst", "src", "eid"))
 
 
 @query
 def edge_batch_sizes(spark, sf):
-    """What every training batch holds."""
-    batches = _batches(spark, sf, "training")
+    """What every batch of every split holds."""
+    return _each_split(lambda s: _batch_sizes(_batches(spark, sf, s)))
+
+
+def _batch_sizes(batches):
     held = batches.pairs.groupBy("batch_id").agg(
         F.sum("label").alias("n_pos"), F.sum(1 - F.col("label")).alias("n_neg")
     )
@@ -495,6 +518,22 @@ def sage_layer_pool(spark, sf):
     return _layer(spark, sf, "pool")
 
 
+def _wide_layer(spark, sf, kind):
+    links = graph.parallel_counts(fx.edges(spark, sf))
+    h = sage.sage_layer(links, fx.node_x(spark, sf, fx.WIDE[0]), fx.wide_layer(kind), True)
+    return h.select("id", *spread("x", fx.WIDE[1], "h"))
+
+
+@query
+def sage_layer_wide(spark, sf):
+    return _wide_layer(spark, sf, "mean")
+
+
+@query
+def sage_layer_pool_wide(spark, sf):
+    return _wide_layer(spark, sf, "pool")
+
+
 @query
 def sage_layer_mean_pool(spark, sf):
     return _layer(spark, sf, "mean_pool")
@@ -539,8 +578,8 @@ def dot_link_score(spark, sf):
 
 @query
 def forward(spark, sf):
-    scored = ev.forward(_batches(spark, sf, "training"), fx.node_x(spark, sf), fx.model())
-    return scored.select("batch_id", "eid", "nth", "label", r6(F.col("score")).alias("score"))
+    scored = _each_split(lambda s: ev.forward(_batches(spark, sf, s), fx.node_x(spark, sf), fx.model()))
+    return scored.select("split", "batch_id", "eid", "nth", "label", r6(F.col("score")).alias("score"))
 
 
 @query
