@@ -1,10 +1,12 @@
-"""Near-duplicate vectors by random rotations, probed hash tables and an exact rerank.
-
-The signs of a vector along random directions are its key in a table. Whatever the data, two
-vectors at an angle differ in each sign with the probability angle / pi. In every table a vector
-also looks under the keys it would have if the signs it is least sure of were flipped. Pairs
-that meet are ranked again by the original vectors. Keys are as long as the number of vectors
-asks for; as many tables are made as find all but ``MISSED`` of sampled pairs at the threshold.
+"""Near-duplicate vectors by iterative quantisation, multi-index Hamming tables and an exact rerank.
+
+A rotation of the centred vectors is learned such that their signs along it are balanced binary
+codes that keep close to the vectors. The code is cut into substrings, each the key of a table of
+its own, and pairs that share a key are ranked again by the original vectors. In every table a
+vector also looks under the keys it would have if the signs it is least sure of were flipped, so
+a pair meets where a substring differs in few bits. Keys are as long as the number of vectors
+asks for. How many substrings are needed follows from pairs planted at the threshold on a sample:
+where the code of one rotation has too few, further rotations are learned from other beginnings.
 """
 
 from __future__ import annotations
@@ -21,84 +23,89 @@ from linkloom.llm.components import components
 from linkloom.session import materialise
 
 LEAST_COSINE = 0.95
-#: Vectors sampled to lay out the tables, pairs planted on each, and the share of those that may be missed.
-SAMPLE, PLANTED, MISSED = 512, 8, 0.001
+#: Vectors that rotations are learned on, rounds of learning.
+SAMPLE, ROUNDS = 2048, 20
+#: Of the sample, vectors that pairs are planted on, pairs for each, and the share that may be missed.
+PLANTED_ON, PLANTED, MISSED = 512, 8, 0.001
 #: Keys a vector looks under in a table, chosen among the flips of its least sure signs; most signs of a key.
-PROBES, UNSURE, LONGEST = 16, 6, 32
-#: Signs of the sketch compared before the vectors, and how likely it turns a pair at the threshold away.
-SKETCH, TURNED_AWAY = 63, 1e-6
+PROBES, UNSURE, LONGEST = 8, 5, 48
+#: Bits of a code, and those that a pair may differ in beyond what planted pairs do.
+CODE, SPARE = 63, 4
 
 _FLIPS = (np.arange(1 << UNSURE)[:, None] >> np.arange(UNSURE)) & 1
 
 
-def directions(width: int, n: int, seed: int) -> np.ndarray:
-    """``n`` random directions as columns, orthogonal in blocks of at most ``width``."""
-    rng, parts = np.random.default_rng(seed), []
-    for low in range(0, n, width):
-        parts.append(np.linalg.qr(rng.normal(size=(width, min(width, n - low))))[0])
-    return np.concatenate(parts, 1)
+def learned_rotation(x: np.ndarray, seed: int) -> np.ndarray:
+    """Iterative quantisation of centred vectors: signs and rotation are fitted to each other in turn."""
+    width = x.shape[1]
+    r = np.linalg.qr(np.random.default_rng(seed).normal(size=(width, width)))[0]
+    for _ in range(ROUNDS):
+        left, _, right = np.linalg.svd(np.where(x @ r >= 0, 1.0, -1.0).T @ x)
+        r = (left @ right).T
+    return r
 
 
 class Tables:
-    """Keys of ``bits`` signs in each table, and a sketch that no key shares a direction with."""
+    """A mean, learned directions as columns, and how many of them make a key.
+
+    Substrings follow each other along the columns; the code is made of the first columns.
+    """
 
-    def __init__(self, width: int, bits: int, n_tables: int = 0):
-        self.width, self.bits = width, bits
-        self.sketching = directions(width, SKETCH, 3)
-        self.rotations = [directions(width, bits, 100 + t) for t in range(n_tables)]
+    def __init__(self, mean: np.ndarray, columns: np.ndarray, bits: int, radius: int = CODE):
+        self.mean, self.columns, self.bits, self.radius = mean, columns, bits, radius
 
-    def add(self) -> None:
-        self.rotations.append(directions(self.width, self.bits, 100 + len(self.rotations)))
+    @property
+    def n_tables(self) -> int:
+        return self.columns.shape[1] // self.bits
 
-    def sketch(self, x: np.ndarray) -> np.ndarray:
-        return (x @ self.sketching >= 0) @ (1 << np.arange(SKETCH, dtype=np.int64))
+    def codes(self, x: np.ndarray) -> np.ndarray:
+        signs = (x - self.mean) @ self.columns[:, :CODE] >= 0
+        return signs @ (1 << np.arange(signs.shape[1], dtype=np.int64))
 
     def keys(self, x: np.ndarray, t: int) -> np.ndarray:
         """``PROBES`` keys in table ``t`` for each vector, its own first."""
-        along = x @ self.rotations[t]
+        along = (x - self.mean) @ self.columns[:, t * self.bits : (t + 1) * self.bits]
         weights = 1 << np.arange(self.bits, dtype=np.int64)
-        unsure = np.argsort(np.abs(along), 1)[:, :UNSURE]
-        cost = np.take_along_axis(along, unsure, 1) ** 2 @ _FLIPS.T
+        n = min(UNSURE, self.bits)
+        unsure = np.argsort(np.abs(along), 1)[:, :n]
+        flips = _FLIPS[: 1 << n, :n]
+        cost = np.take_along_axis(along, unsure, 1) ** 2 @ flips.T
         chosen = np.argsort(cost, 1, kind="stable")[:, :PROBES]  # no flip costs nothing
-        flipped = _FLIPS[chosen] * weights[unsure][:, None, :]
+        chosen = np.pad(chosen, ((0, 0), (0, PROBES - chosen.shape[1])), mode="edge")
+        flipped = flips[chosen] * weights[unsure][:, None, :]
         return ((along >= 0) @ weights)[:, None] ^ flipped.sum(2)
 
 
-def radius_of(least: float) -> int:
-    """Most signs of a sketch that a pair at the threshold differs in, but for ``TURNED_AWAY`` of them."""
-    p, r, tail = math.acos(least) / math.pi, -1, 1.0
-    while tail > TURNED_AWAY:
-        r += 1
-        tail -= math.comb(SKETCH, r) * p**r * (1 - p) ** (SKETCH - r)
-    return r
+def planted_pairs(x: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors of ``x`` and others in random directions at the threshold from them."""
+    a = np.repeat(x[:PLANTED_ON], -(-PLANTED_ON * PLANTED // min(len(x), PLANTED_ON)), 0)
+    if x.shape[1] == 1:
+        return a, a
+    z = np.random.default_rng(5).normal(size=a.shape)
+    z -= (z * a).sum(1, keepdims=True) * a
+    z /= np.sqrt((z * z).sum(1, keepdims=True))
+    return a, least * a + math.sqrt(1 - least * least) * z
 
 
-def lay_tables(x: np.ndarray, n: int, least: float, missed: float = MISSED) -> Tables:
-    """Tables for ``n`` unit vectors like those of ``x``.
+def lay_tables(x: np.ndarray, n: int, least: float, missed: float = MISSED) -> tuple[Tables, int]:
+    """Tables for ``n`` unit vectors like those of ``x``, which find all but ``missed`` of planted pairs.
 
-    Where signs agree more often than by chance, as around a common mean, keys are longer.
+    The codes' radius is what planted pairs differ in at most, and a little more.
     """
-    rng, width = np.random.default_rng(5), x.shape[1]
-    codes = Tables(width, 1).sketch(x)
-    apart = np.bitwise_count(codes[:, None] ^ codes)[np.triu_indices(len(x), 1)]
-    agree = 1 - apart.mean() / SKETCH if len(apart) else 0.5
-    agree = min(max(agree, 0.5), 0.99)
-    bits = math.ceil(math.log(max(n, 2)) / -math.log(agree)) + 1
-    tables = Tables(width, min(max(bits, 8), LONGEST))
-    a = np.repeat(x, -(-SAMPLE * PLANTED // len(x)), 0)
-    z = rng.normal(size=a.shape)
-    z -= (z * a).sum(1, keepdims=True) * a
-    size = np.sqrt((z * z).sum(1, keepdims=True))
-    if width == 1:
-        b = a
-    else:
-        b = least * a + math.sqrt(1 - least * least) * z / size
-    found = np.zeros(len(a), bool)
+    bits = min(max(math.ceil(math.log2(max(n, 2))) + 1, 2), LONGEST)
+    tables = Tables(x.mean(0), np.zeros((x.shape[1], 0)), bits)
+    a, b = planted_pairs(x, least)
+    found, t, seed = np.zeros(len(a), bool), 0, 0
     while found.mean() < 1 - missed:
-        tables.add()
-        p, q = (tables.keys(v, len(tables.rotations) - 1) for v in (a, b))
+        while tables.n_tables <= t or tables.columns.shape[1] < min(CODE, x.shape[1]):
+            tables.columns = np.concatenate([tables.columns, learned_rotation(x - tables.mean, seed)], 1)
+            seed += 1
+        p, q = (tables.keys(v, t) for v in (a, b))
         found |= (p == q[:, :1]).any(1) | (q == p[:, :1]).any(1)
-    return tables
+        t += 1
+    apart = np.bitwise_count(tables.codes(a) ^ tables.codes(b))
+    used = max(t * bits, min(CODE, tables.columns.shape[1]))
+    return Tables(tables.mean, tables.columns[:, :used], bits, int(apart.max()) + SPARE), t
 
 
 def _rows(column: pa.Array, width: int) -> np.ndarray:
@@ -123,23 +130,22 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def fit_tables(classes: DataFrame, least: float) -> Tables:
-    """Laid out by at most ``SAMPLE`` vectors, chosen by a hash of their ids."""
+def fit_tables(classes: DataFrame, least: float) -> tuple[Tables, int]:
+    """Tables and their number, laid out by at most ``SAMPLE`` vectors, chosen by a hash of their ids."""
     sample = classes.orderBy(F.xxhash64(F.lit(7), "rep"), "rep").limit(SAMPLE).select("v").collect()
     return lay_tables(unit(np.array([r.v for r in sample], np.float64)), classes.count(), least)
 
 
-def candidates(classes: DataFrame, tables: Tables, radius: int) -> DataFrame:
-    """Pairs ``a < b`` where one looks under the other's key in some table, each pair once."""
-    width, bits, n_tables = tables.width, tables.bits, len(tables.rotations)
+def candidates(classes: DataFrame, tables: Tables, n_tables: int) -> DataFrame:
+    """Pairs ``a < b`` where one looks under the other's key in some table and codes are close, each pair once."""
+    width, bits, radius = len(tables.mean), tables.bits, tables.radius
 
     def encode(batches):
-        laid = Tables(width, bits, n_tables)
         for batch in batches:
             x = unit(_rows(batch.column(1), width))
-            keys = np.concatenate([laid.keys(x, t) + (t << bits) for t in range(n_tables)], 1)
+            keys = np.concatenate([tables.keys(x, t) + (t << bits) for t in range(n_tables)], 1)
             lists = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * keys.shape[1], keys.ravel())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(laid.sketch(x)), lists], ["rep", "code", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tables.codes(x)), lists], ["rep", "code", "keys"])
 
     coded = classes.select("rep", "v").mapInArrow(encode, "rep long, code long, keys array<long>")
     coded = materialise(coded, "coded")
@@ -184,7 +190,7 @@ def near_vectors(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
     links = None
     for (width,) in classes.select("width").distinct().orderBy("width").collect():
         own = classes.filter(F.col("width") == width)
-        met = materialise(candidates(own, fit_tables(own, least), radius_of(least)), "met")
+        met = materialise(candidates(own, *fit_tables(own, least)), "met")
         found = _verified(met, own, width, least)
         links = found if links is None else links.union(found)
     if links is None:
