@@ -8,9 +8,13 @@ product over its words. Piece probabilities per language are expected counts ove
 
 from __future__ import annotations
 
+import math
 import re
+import sys
+import unicodedata
 import uuid
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +24,11 @@ from pyspark.sql import functions as F
 from linkloom.llm.common import carried, id_remainder, map_texts, pieces, strings, table, worker_cache
 
 UNKNOWN, SMOOTHING = "und", 0.05
-#: Longer runs of letters are scored in parts of so many.
-PART = 40
-#: Words remembered per worker; all are forgotten when it is full.
+#: Words of more letters go by one at a time and are not remembered.
+SHORT = 40
+#: Words of at most SHORT letters remembered per worker; all are forgotten when it is full.
 REMEMBERED = 900_000
-_WORD = re.compile(r"[^\W\d_]+")
+_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def vocabulary(path: str) -> dict[str, int]:
@@ -51,20 +55,90 @@ def piece_trie(vocab: dict[str, int]) -> list:
             for letter in name:
                 node = node[1].setdefault(letter, [-1, {}])
             node[0] = piece
-        cache.update(of=vocab, root=root)
+        cache.update(of=vocab, root=root, longest=max(map(len, vocab), default=1))
     return cache["root"]
 
 
+def odd_characters() -> re.Pattern:
+    """Marks, and numbers that are no decimal digits: what keeps ``_LETTERS`` from being runs of letters."""
+    cache = worker_cache("odd characters")
+    if "is" not in cache:
+        odd = lambda c: unicodedata.category(c)[0] == "M" or (c.isalnum() and not c.isalpha() and not c.isdecimal())
+        found, runs = [i for i in range(128, sys.maxunicode + 1) if odd(chr(i))], []
+        for i in found:
+            if runs and runs[-1][1] == i - 1:
+                runs[-1][1] = i
+            else:
+                runs.append([i, i])
+        cache["is"] = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in runs) + "]")
+    return cache["is"]
+
+
 def words_of(text: str) -> list[str]:
-    """Runs of letters in lower case; each is cut alone, as pieces don't cross words."""
-    words = _WORD.findall(text.lower())
-    if max(map(len, words), default=0) > PART:
-        words = [w[i : i + PART] for w in words for i in range(0, len(w), PART)]
-    return words
+    """Runs of letters with their marks, in lower case; each is cut alone, as pieces don't cross words."""
+    text = text.lower()
+    if text.isascii() or not odd_characters().search(text):
+        return _LETTERS.findall(text)
+    import regex
+
+    return regex.findall(r"\p{L}[\p{L}\p{M}]*", text)
+
+
+class LongWord:
+    """All cuts of one word of any length, letter by letter; sums are kept near one on the way."""
+
+    def __init__(self, word: str, vocab: dict[str, int]):
+        self.letters, self.none, self.begins = "▁" + word, len(vocab), piece_trie(vocab)[1]
+        self.longest = worker_cache("trie")["longest"]
+
+    def _from(self, i: int) -> Iterator[tuple[int, int]]:
+        """Where the pieces that begin at a place end, and which they are; a letter may be none."""
+        node, end = self.begins.get(self.letters[i]), i + 1
+        if node is None or node[0] < 0:
+            yield end, self.none
+        while node is not None:
+            if node[0] >= 0:
+                yield end, node[0]
+            if end == len(self.letters):
+                break
+            node, end = node[1].get(self.letters[end]), end + 1
+
+    def log_likelihood(self, p: np.ndarray) -> np.ndarray:
+        """The forward sum of every language, in a window as long as the longest piece."""
+        span, moved = self.longest + 1, 0.0
+        window = np.zeros((span, p.shape[1]))
+        window[0] = 1
+        for i in range(len(self.letters)):
+            here = window[i % span].copy()
+            window[i % span] = 0
+            if not 1e-60 < (top := here.max()) < 1e60 and top > 0:
+                window, here, moved = window / top, here / top, moved + math.log(top)
+            for end, piece in self._from(i):
+                window[end % span] += here * p[piece]
+        return np.log(np.maximum(window[len(self.letters) % span], 1e-290)) + moved
+
+    def expected(self, p: np.ndarray, counts: np.ndarray, times: float) -> None:
+        """Add to ``counts`` how often each piece is used, over all cuts, ``times`` over; ``p`` has one column."""
+        logs, n = np.log(p[:, 0]), len(self.letters)
+
+        def more(a: float, b: float) -> float:
+            low, high = min(a, b), max(a, b)
+            return high if low == -math.inf else high + math.log1p(math.exp(low - high))
+
+        before, after = [0.0] + [-math.inf] * n, [-math.inf] * n + [0.0]
+        for i in range(n):
+            for end, piece in self._from(i):
+                before[end] = more(before[end], before[i] + logs[piece])
+        for i in reversed(range(n)):
+            for end, piece in self._from(i):
+                after[i] = more(after[i], after[end] + logs[piece])
+        for i in range(n):
+            for end, piece in self._from(i):
+                counts[piece] += times * math.exp(before[i] + logs[piece] + after[end] - before[n])
 
 
 class Lattice:
-    """All cuts of some words: an edge for each piece at each place."""
+    """All cuts of some words of at most SHORT letters: an edge for each piece at each place."""
 
     def __init__(self, words: list[str], vocab: dict[str, int], longest: int):
         base, at, none, packed = [], 0, len(vocab), []
@@ -140,7 +214,7 @@ class Lattice:
 
 
 def _longest(vocab: dict[str, int]) -> int:
-    return min(PART, max(map(len, vocab)))
+    return min(SHORT + 1, max(map(len, vocab)))
 
 
 def count_pieces(docs: DataFrame, path: str) -> DataFrame:
@@ -152,10 +226,17 @@ def count_pieces(docs: DataFrame, path: str) -> DataFrame:
         vocab = vocabulary(path)
         longest, flat = _longest(vocab), np.full((len(vocab) + 1, 1), 0.05)
         sums: dict[str, np.ndarray] = {}
-        texts_seen, held = Counter(), {}
+        texts_seen, held, long = Counter(), {}, 0
 
         def settle():
-            words = list(set().union(*held.values()))
+            every = set().union(*held.values())
+            for w in [w for w in every if len(w) > SHORT]:
+                word = LongWord(w, vocab)
+                for lang, seen in held.items():
+                    if w in seen:
+                        sums.setdefault(lang, np.zeros(len(vocab) + 1))
+                        word.expected(flat, sums[lang], seen[w])
+            words = [w for w in every if len(w) <= SHORT]
             for i in range(0, len(words), 20_000):
                 part = words[i : i + 20_000]
                 lattice = Lattice(part, vocab, longest)
@@ -169,9 +250,12 @@ def count_pieces(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for text, lang in zip(strings(batch.column(0)), batch.column(1).to_pylist()):
                 texts_seen[lang] += 1
-                held.setdefault(lang, Counter()).update(words_of(text))
-                if sum(map(len, held.values())) > 600_000:
+                words = words_of(text)
+                held.setdefault(lang, Counter()).update(words)
+                long += sum(len(w) for w in words if len(w) > SHORT)
+                if sum(map(len, held.values())) > 600_000 or long > 10_000_000:
                     settle()
+                    long = 0
         settle()
         for lang, n in texts_seen.items():
             got = sums.get(lang, np.zeros(len(vocab) + 1))
@@ -223,6 +307,7 @@ class _Scorer:
         self.known, self.rows = cache["known"], cache["rows"]
 
     def learn(self, words: set[str]) -> None:
+        words = {w for w in words if len(w) <= SHORT}
         new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
@@ -235,8 +320,13 @@ class _Scorer:
             self.known.update(zip(part, range(first, first + len(part))))
 
     def posterior(self, words: list[str]) -> np.ndarray:
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        short = [w for w in words if len(w) <= SHORT]
+        at = np.fromiter(map(self.known.__getitem__, short), np.int64, len(short))
         v = self.rows[at].sum(0) + self.model.priors
+        if len(short) < len(words):
+            for w in words:
+                if len(w) > SHORT:
+                    v = v + LongWord(w, self.vocab).log_likelihood(self.model.p)
         v = np.exp(v - v.max())
         return v / v.sum()
 
