@@ -2,8 +2,9 @@
 
 A set links to another only if ``percent`` of its shingles occur in other sets. So
 
-1. copies of a set are folded; a pass over fingerprints of all shingles, dealt into buckets,
-   counts for each set how many occur in a different one, and drops sets with too few;
+1. copies of a set are folded; a pass over fingerprints, dealt into buckets, counts for each set
+   how many occur in a different one, and drops sets with too few. It takes the lower half of
+   every set by hash: two linked sets share at least ``percent`` - 50 of a hundred there;
 2. the remaining sets are laid out by min-hash in blocks of bounded size. Each block is
    searched by DivideSkip: short inverted lists are merged on a heap that skips, long ones
    are probed by binary search, and what reaches the required overlap is linked. A set that
@@ -99,14 +100,32 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def _ship(chunk: int, sets: list, n_buckets: int, percent: int):
-    """Rows of BUCKETED for one chunk of ``(key, group, shingles)``, and its own row of keys.
+def lower_half(shingles: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """The lower half of a set by hash, and how many of it any linked set has in its own.
+
+    Of two linked sets with n and m shingles at least ``percent`` of the larger number are
+    common. Take the set whose half ends first: what it holds beyond, half of its shingles at
+    most, may be common too, the rest of the common ones lie in both halves. That leaves
+    ``percent`` - 50 of a hundred of the larger set, so of either. Below 60 the whole set serves.
+    """
+    n = len(shingles)
+    if percent < 60:
+        return shingles, least_overlap(n, percent)
+    return shingles[: (n + 1) // 2], least_overlap(n, percent - 50)
+
+
+#: Fingerprints of a set that may be missed, as groups are told apart by 32 bits there.
+SLACK = 2
+
+
+def _ship(chunk: int, sets: list, n_buckets: int):
+    """Rows of BUCKETED for one chunk of ``(key, group, shingles, needed)``, and its own row of keys.
 
     Shingles that several groups of the chunk share are settled here and sent once.
     """
-    sizes = np.array([len(s) for _, _, s in sets])
-    tokens = np.concatenate([s for _, _, s in sets])
-    groups = np.array([g for _, g, _ in sets], np.uint64)
+    sizes = np.array([len(s) for _, _, s, _ in sets])
+    tokens = np.concatenate([s for _, _, s, _ in sets])
+    groups = np.array([g & 0xFFFFFFFF for _, g, _, _ in sets], np.uint32)
     doc = np.repeat(np.arange(len(sets), dtype=np.uint32), sizes)
     order = np.argsort(tokens, kind="stable")
     sorted_tokens = tokens[order]
@@ -116,8 +135,8 @@ def _ship(chunk: int, sets: list, n_buckets: int, percent: int):
     settled = np.zeros(len(tokens), bool)
     settled[order] = np.repeat(shared, np.diff(np.append(starts, len(tokens))))
     local = np.bincount(doc[settled], minlength=len(sets)).astype(np.uint32)
-    keys = b"".join(k for k, _, _ in sets)
-    needed = np.array([least_overlap(n, percent) for n in sizes], np.uint32)
+    keys = b"".join(k for k, *_ in sets)
+    needed = np.array([max(0, n - SLACK) for *_, n in sets], np.uint32)  # the smallest sets all stay
     own = {"chunk": chunk, "docs": np.arange(len(sets), dtype=np.uint32).tobytes(), "counts": local.tobytes()}
     own |= {"keys": keys, "needed": needed.tobytes()}
 
@@ -154,7 +173,7 @@ def _settle(rows: pd.DataFrame) -> pd.DataFrame:
     out = [(r.chunk, r.docs, r.sizes, r.groups, r.many) for r in rows[rows.tokens.isna()].itertuples()]
     rows = rows[rows.tokens.notna()]
     read = lambda column, kind: [np.frombuffer(x, kind) for x in rows[column]]
-    tokens, docs, sizes, groups = (read(*x) for x in (("tokens", "u4"), ("docs", "u4"), ("sizes", "u4"), ("groups", "u8")))
+    tokens, docs, sizes, groups = (read(*x) for x in (("tokens", "u4"), ("docs", "u4"), ("sizes", "u4"), ("groups", "u4")))
     many = np.unique(np.concatenate([np.zeros(0, np.uint32), *read("many", "u4")]))
     every = np.concatenate([np.zeros(0, np.uint32), *tokens])
     if len(every):
@@ -189,7 +208,7 @@ def _decide(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def sets_shared_enough(rows: DataFrame, sets_of, n_shingles: int, percent: int) -> DataFrame:
-    """Distinct ids of sets of which ``percent`` of the shingles occur in another group.
+    """Distinct ids of sets of whose lower half enough occurs in that of a set of another group.
 
     ``sets_of(batch)`` yields ``(key, group, shingles)``. Fingerprints have 32 bits besides the
     bucket's, so a chance collision may keep a set, never drop one.
@@ -202,7 +221,7 @@ def sets_shared_enough(rows: DataFrame, sets_of, n_shingles: int, percent: int)
         first, n_chunks, held, size = TaskContext.get().partitionId() << 32, 0, {}, 0
 
         def out():
-            for r in _ship(first + n_chunks, list(held.values()), n_buckets, percent):
+            for r in _ship(first + n_chunks, list(held.values()), n_buckets):
                 if own := r.pop("own", None):
                     r |= {"docs": own["docs"], "sizes": own["counts"], "groups": own["keys"], "many": own["needed"]}
                 yield pa.RecordBatch.from_arrays([pa.array([r.get(n)], k) for n, k in zip(names, kinds)], names)
@@ -210,8 +229,8 @@ def sets_shared_enough(rows: DataFrame, sets_of, n_shingles: int, percent: int)
         for batch in batches:
             for key, group, shingles in sets_of(batch):
                 if len(shingles) and key not in held:
-                    held[key] = key, group, shingles
-                    size += len(shingles)
+                    held[key] = key, group, *lower_half(shingles, percent)
+                    size += len(held[key][2])
                 if size >= CHUNK:
                     yield from out()
                     n_chunks, held, size = n_chunks + 1, {}, 0
@@ -571,11 +590,17 @@ def _between_components(sets: DataFrame, found: DataFrame, percent: int) -> Data
     held = blocks.select("block", "high_size", "high_component", "names")
     held = held.mapInArrow(members, "set_id binary, block long, high_size long, high_component binary")
     held = held.join(left.select("no", "set_id"), "set_id").drop("set_id").join(prefixes, "no")
-    held = held.select("token", "block", "high_size", "high_component").distinct()
-    asked = prefixes.join(left.select("no", "set_id", "size", "component"), "no")
+    held = materialise(held.select("token", "block", "high_size", "high_component").distinct(), "held_blocks")
+    # Tokens that lead to the same blocks are one route, told by what their blocks mix to.
+    mixed = [F.bit_xor(F.xxhash64(F.lit(seed), "block")) for seed in (1, 2)]
+    route = F.struct(F.count("*").alias("n"), mixed[0].alias("x"), mixed[1].alias("y"))
+    routes = materialise(held.groupBy("token").agg(route.alias("route")), "routes")
+    held = materialise(held.join(routes, "token").select("route", "block", "high_size", "high_component").distinct(), "route_blocks")
+    asked = prefixes.join(routes, "token").select("no", "route").distinct()
+    asked = asked.join(left.select("no", "set_id", "size", "component"), "no")
     same = F.col("size") == F.col("high_size")
     smaller = (F.col("size") < F.col("high_size")) | (same & (F.col("component") < F.col("high_component")))
-    routed = asked.join(held, "token").filter(smaller).select("set_id", F.col("block").alias("part")).distinct()
+    routed = asked.join(held, "route").filter(smaller).select("set_id", F.col("block").alias("part")).distinct()
     routed = materialise(routed, "routed")
     queries = routed.join(left.select("set_id", "size", "component", "shingles", "n"), "set_id")
     queries = _pack(queries.repartitionByRange("part", "set_id").sortWithinPartitions("part", "set_id"))

@@ -81,3 +81,17 @@ def test_a_common_passage_routes_in_proportion(spark, monkeypatch):
 
     few, many = routed(60), routed(240)
     assert many[0] <= few[0] * 2 and many[1] <= 240 + 20
+
+
+def test_lower_halves_of_linked_sets_share_enough():
+    draw = random.Random(8)
+    linked = 0
+    for _ in range(4000):
+        a = set(draw.sample(range(10_000), draw.randint(1, 24)))
+        b = {t for t in a if draw.random() > 0.12} | set(draw.sample(range(10_000), draw.randint(0, 4)))
+        both = len(a & b)
+        if b and 100 * both >= 75 * (len(a) + len(b) - both):
+            linked += 1
+            (p, least), (q, other) = (jaccard.lower_half(np.array(sorted(s)), 75) for s in (a, b))
+            assert len({*p.tolist()} & {*q.tolist()}) >= max(least, other)
+    assert linked > 1000
