@@ -30,20 +30,22 @@ def binary_lengths(n: int, longest: int = LONGEST) -> list[int]:
     return [longest] * (n // longest) + [1 << b for b in bits if rest >> b & 1]
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 1, longest: int = LONGEST) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, tokenizer_path: str, end_id: int = 1, longest: int = LONGEST, share: float = 1.0
+) -> DataFrame:
     """One row per sequence: its piece of a document and the ids, little-endian unsigned 32-bit.
 
     ``sequence_id`` is unique and holds the bucket (log2 of the length) in its upper bits, then
     the input partition, then the rank in both, so a bucket is a range of ids and nothing is
     counted or shuffled. ``offset`` is always 0. Null text counts as empty and gives one piece
     with ``end_id``. Null and repeated ids are kept, each row is a document of its own; other
-    columns are ignored.
+    columns are ignored. ``share`` of a worker's usual memory of chunks is used.
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("the longest length is a power of two")
 
     def cut(batches):
-        stream, ranks = TokenStream(tokenizer_path), [0] * longest.bit_length()
+        stream, ranks = TokenStream(tokenizer_path, share), [0] * longest.bit_length()
         partition = TaskContext.get().partitionId() << _RANK_BITS
         for batch in batches:
             docs, texts = batch.column(0), strings(batch.column(1))

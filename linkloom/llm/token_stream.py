@@ -33,27 +33,31 @@ class _Chunks(dict):
 
     def __init__(self, encode):
         super().__init__()
-        self.encode = encode
+        self.encode, self.most = encode, REMEMBERED
 
     def __missing__(self, chunk: str) -> bytes:
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise _Uncut
         if "\n" in chunk:  # seldom seen again as a whole
             return self.encode(chunk)
-        if len(self) >= REMEMBERED:
+        if len(self) >= self.most:
             self.clear()
         found = self[chunk] = self.encode(chunk)
         return found
 
 
 class TokenStream:
-    """``ids(texts)``: a uint32 array per text, as ``encode(text, add_special_tokens=False)``."""
+    """``ids(texts)``: a uint32 array per text, as ``encode(text, add_special_tokens=False)``.
 
-    def __init__(self, path: str):
+    ``share`` of the usual number of chunks and parts is remembered.
+    """
+
+    def __init__(self, path: str, share: float = 1.0):
         self.tokenizer = load_tokenizer(path)
         cache = worker_cache(f"chunks:{path}")
         self.known, self.parts = cache.setdefault("known", _Chunks(None)), worker_cache(f"parts:{path}")
-        self.known.encode = self._chunk
+        self.known.encode, self.known.most = self._chunk, int(share * REMEMBERED)
+        self.most_parts = int(share * REMEMBERED_PARTS)
         pre = json.loads(self.tokenizer.to_str())
         kind, plain = pre["pre_tokenizer"] or {}, not (pre["normalizer"] or pre["post_processor"])
         if not plain or (kind.get("type"), kind.get("use_regex"), kind.get("add_prefix_space")) != ("ByteLevel", True, False):
@@ -101,7 +105,7 @@ class TokenStream:
     def _part(self, part: str) -> bytes:
         found = self.parts.get(part)
         if found is None:
-            if len(self.parts) >= REMEMBERED_PARTS:
+            if len(self.parts) >= self.most_parts:
                 self.parts.clear()
             letters = part.encode().decode("latin-1").translate(_LETTERS)
             found = np.array([t.id for t in self.tokenizer.model.tokenize(letters)], np.uint32).tobytes()
