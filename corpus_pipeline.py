@@ -19,6 +19,16 @@ from linkloom.session import materialise
 
 #: Language predictions below this posterior are rejected.
 LEAST_POSTERIOR = 0.5
+#: Rows handed to a Python worker at once, which hold whole documents here.
+ROWS_AT_ONCE = 2000
+
+
+def _bounded(spark: SparkSession) -> None:
+    """Fewer rows per Arrow batch than by default, for this session; they are read when a stage's result is written."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if not 0 < now <= ROWS_AT_ONCE:
+        spark.conf.set(name, str(ROWS_AT_ONCE))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,6 +36,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     Decided by row, null and repeated ids included; an empty table stays empty.
     """
+    _bounded(spark)
     scored = score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")), carry=True)
     return scored.filter("predicted = 1").select("row.*")
 
@@ -35,6 +46,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Decided by row; languages as likely as each other go by name. An empty table stays empty.
     """
+    _bounded(spark)
     path = vocabulary_path("piece_bpe_32k.model")
     model = fit_languages(docs.filter(id_remainder("doc_id", 3) != 1), path)
     named = predict_languages(docs, model, path, carry=True)
@@ -46,6 +58,7 @@ def jaccard_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     Rows are told apart by a key of their own: ids may repeat or be null.
     """
+    _bounded(spark)
     rows = docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row"))
     keyed = materialise(rows, "keyed")
     found = jaccard_components(keyed.select(F.col("row").alias("doc_id"), "doc.text"))
@@ -61,7 +74,9 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null text counts as empty and gives its end id alone; rows with null or repeated ids are
     packed like others. An empty table gives no sequences.
     """
-    packed = pack_documents(docs, vocabulary_path("byte_bpe_50k.json"))
+    _bounded(spark)
+    # Workers still hold what earlier stages left them.
+    packed = pack_documents(docs, vocabulary_path("byte_bpe_50k.json"), share=0.3)
     return packed.withColumn("ids_crc32", F.crc32("ids"))
 
 
