@@ -10,58 +10,70 @@ blocks of groups times a block of terms, whatever the size of a source or a lang
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import binaries, strings, table
+from linkloom.llm.common import binaries, pieces, release_caches, strings, table
 from linkloom.session import materialise
 
 #: Least number of documents of a term, smoothing of a count, steps of a share, ranks of terms.
 LEAST, SMOOTH, STEPS, TOP = 30, 5, 1_000_000_000, 50
 #: Sides of a cell.
 GROUPS, TERMS = 16, 4096
-#: Distinct counts that a task holds before it hands them on.
-HELD = 400_000
+#: Distinct counts that a task holds before it hands them on, and hands on at once.
+HELD, SENT = 100_000, 10_000
 
 _TERM_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _COUNTED = "lang string, source string, term string, n long, docs long"
 
 
-def count_terms(docs: DataFrame) -> DataFrame:
-    """``(lang, source, term, n, docs)`` per group and term, and a row with a null term per group.
-
-    ``docs`` is the number of rows of the group that hold the term.
-    """
-
-    def run(batches):
-        n, d, groups = {}, {}, {}
-
-        def out():
-            rows = [(*g, None, 0, k) for g, k in groups.items()]
-            rows += [(*g, t.decode("utf-8", "replace"), k, d[g][t]) for g, counts in n.items() for t, k in counts.items()]
-            kinds = [*[pa.string()] * 3, *[pa.int64()] * 2]
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-            return pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
-
-        for batch in batches:
-            texts, langs, sources = binaries(batch.column(0)), strings(batch.column(1)), strings(batch.column(2))
-            for text, lang, source in zip(texts, langs, sources):
+def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of ``count_terms`` for Arrow batches of texts, languages and sources."""
+    release_caches()
+    n, d, groups = {}, {}, {}
+
+    def rows():
+        for g, k in groups.items():
+            yield *g, None, 0, k
+        for g, counts in n.items():
+            for t, k in counts.items():
+                yield *g, t.decode("utf-8", "replace"), k, d[g][t]
+
+    def out():
+        left, kinds = rows(), [*[pa.string()] * 3, *[pa.int64()] * 2]
+        while part := list(islice(left, SENT)):
+            columns = [pa.array(c, k) for c, k in zip(zip(*part), kinds)]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
+
+    for batch in batches:
+        for part in pieces(pc.binary_length(batch.column(0)).fill_null(0).to_pylist()):
+            texts = batch.slice(part.start, part.stop - part.start)
+            for text, lang, source in zip(binaries(texts.column(0)), strings(texts.column(1)), strings(texts.column(2))):
                 terms, g = text.translate(_TERM_BYTES).split(), (lang, source)
                 groups[g] = groups.get(g, 0) + 1
                 if terms:
                     n.setdefault(g, Counter()).update(terms)
                     d.setdefault(g, Counter()).update(set(terms))
             if sum(map(len, n.values())) > HELD:
-                yield out()
+                yield from out()
                 n, d, groups = {}, {}, {}
-        if groups:
-            yield out()
+    if groups:
+        yield from out()
+
 
-    parts = docs.select("text", "lang", "source").mapInArrow(run, _COUNTED)
+def count_terms(docs: DataFrame) -> DataFrame:
+    """``(lang, source, term, n, docs)`` per group and term, and a row with a null term per group.
+
+    ``docs`` is the number of rows of the group that hold the term.
+    """
+    parts = docs.select("text", "lang", "source").mapInArrow(count_batches, _COUNTED)
     return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 

@@ -1,8 +1,10 @@
 """Divergence of sources against plain counting, with cells of several sizes."""
 
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from linkloom.llm import divergence
@@ -64,3 +66,22 @@ def test_a_long_text_is_handed_on_in_parts(spark, monkeypatch):
     rows = [(1, " ".join(words * 200), "en", "a", "", 0), (2, " ".join(words[:300]), "en", "b", "", 0)]
     found = divergence.source_divergence(spark.createDataFrame(rows, SCHEMA), least=1)
     assert {tuple(r) for r in found.collect()} == by_hand(rows, 1, 50)
+
+
+def test_counting_many_terms_takes_little_memory():
+    """Distinct terms of a task, held twice and handed on as rows at once, took a worker's memory."""
+
+    def batches():
+        for k in range(60):
+            texts = [" ".join(f"w{chr(97 + i % 26)}q{'abcdefghij'[j // 100]}{chr(97 + j // 10 % 10)}{chr(97 + j % 10)}x{chr(97 + k % 26)}{chr(97 + k // 26)}" for j in range(1000)) for i in range(6)]
+            yield pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["en"] * 6), pa.array([f"s{k % 3}"] * 6)], ["text", "lang", "source"])
+
+    tracemalloc.start()
+    n, docs = 0, 0
+    for out in divergence.count_batches(batches()):
+        n += sum(out.column("n").to_pylist())
+        docs += sum(d for d, t in zip(out.column("docs").to_pylist(), out.column("term").to_pylist()) if t is None)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert (n, docs) == (360_000, 360)
+    assert peak < 45e6, peak
