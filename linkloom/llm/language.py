@@ -59,29 +59,34 @@ def piece_trie(vocab: dict[str, int]) -> list:
     return cache["root"]
 
 
-def odd_characters() -> re.Pattern:
-    """Marks, and numbers that are no decimal digits: what keeps ``_LETTERS`` from being runs of letters."""
-    cache = worker_cache("odd characters")
+def kinds_of_characters() -> np.ndarray:
+    """For each code point 1 if ``_LETTERS`` takes it, 2 if it is odd, else 0.
+
+    Odd are marks, and numbers that are no decimal digits: what keeps ``_LETTERS`` from being runs
+    of letters.
+    """
+    cache = worker_cache("kinds of characters")
     if "is" not in cache:
         odd = lambda c: unicodedata.category(c)[0] == "M" or (c.isalnum() and not c.isalpha() and not c.isdecimal())
-        found, runs = [i for i in range(128, sys.maxunicode + 1) if odd(chr(i))], []
-        for i in found:
-            if runs and runs[-1][1] == i - 1:
-                runs[-1][1] = i
-            else:
-                runs.append([i, i])
-        cache["is"] = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in runs) + "]")
+        kinds = np.zeros(sys.maxunicode + 1, np.uint8)
+        for run in _LETTERS.finditer("".join(map(chr, range(sys.maxunicode + 1)))):
+            kinds[run.start() : run.end()] = 1
+        kinds[[i for i in range(128, sys.maxunicode + 1) if odd(chr(i))]] = 2
+        cache["is"] = kinds
     return cache["is"]
 
 
 def words_of(text: str) -> list[str]:
     """Runs of letters with their marks, in lower case; each is cut alone, as pieces don't cross words."""
     text = text.lower()
-    if text.isascii() or not odd_characters().search(text):
-        return _LETTERS.findall(text)
-    import regex
-
-    return regex.findall(r"\p{L}[\p{L}\p{M}]*", text)
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    kinds = kinds_of_characters()[codes]
+    if (kinds == 2).any():
+        import regex
+
+        return regex.findall(r"\p{L}[\p{L}\p{M}]*", text)
+    # No letter is a blank, so what is left between others is the runs.
+    return np.where(kinds == 1, codes, np.uint32(32)).tobytes().decode("utf-32-le", "surrogatepass").split()
 
 
 class LongWord:

@@ -1,5 +1,8 @@
 """Words of any length and script: whole words, no cuts, the same sums as the short way."""
 
+import re
+import time
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -46,3 +49,21 @@ def test_texts_without_letters_and_long_runs(spark):
     model = language.fit_languages(docs, PIECES)
     found = {r.doc_id: r.lang_pred for r in language.predict_languages(docs, model, PIECES).collect()}
     assert found[100] == "und" and found[101] == "de" and found[102] == "en" and found[103] != "und"
+
+
+def test_words_with_accents_cost_no_more_than_a_search_for_letters():
+    """Looking for marks one class of characters after another took several times as long."""
+    text = "Fühlt der naïve Gärtner él niño, größer 12 Äpfel. " * 20_000
+    language.words_of("é")
+
+    def seconds(work):
+        taken = []
+        for _ in range(3):
+            begun = time.perf_counter()
+            work(text)
+            taken.append(time.perf_counter() - begun)
+        return min(taken)
+
+    letters = re.compile(r"[^\W\d_]+")
+    assert language.words_of(text) == letters.findall(text.lower())
+    assert seconds(language.words_of) < 2 * seconds(letters.findall)
