@@ -26,7 +26,7 @@ from linkloom.model import SageLayer, SageModel
 from linkloom.operators.graph import node_features, parallel_counts
 from linkloom.operators.refine import refine_probability
 from linkloom.operators.scoring import predict_links
-from linkloom.session import materialise, shared_file
+from linkloom.session import materialise, shared_file, shuffled
 
 #: Buckets of ids; versions after which all state is written.
 BUCKETS, FULL = 64, 16
@@ -101,14 +101,14 @@ class FreshEmbeddings:
         rows = self._read("state", _STATE, [v for v in versions if not whole or v >= whole[-1]])
         if ids is not None:
             keyed = ids.select("id", F.pmod(F.xxhash64("id"), F.lit(self.buckets)).cast("int").alias("bucket"))
-            rows = rows.join(keyed, ["bucket", "id"], "left_semi")
+            rows = rows.join(shuffled(keyed), ["bucket", "id"], "left_semi")
         latest = rows.groupBy("id").agg(F.max_by(F.struct("n", "sum1", "h1", "sum2", "x"), "v").alias("s"))
         return latest.select("id", "s.*")
 
     def _links_from(self, ids: DataFrame, before: int) -> DataFrame:
         rows = self._read("links", "src long, dst long, n long", self._versions("links", before))
         keyed = ids.select(F.col("id").alias("src"), F.pmod(F.xxhash64("id"), F.lit(self.buckets)).cast("int").alias("bucket"))
-        return rows.join(keyed, ["bucket", "src"], "left_semi").select("src", "dst", "n")
+        return rows.join(shuffled(keyed), ["bucket", "src"], "left_semi").select("src", "dst", "n")
 
     def embeddings(self) -> DataFrame:
         """``(id, x)`` of all nodes, without a last activation."""
@@ -131,10 +131,11 @@ class FreshEmbeddings:
         # First layer: sums of the destinations and of new nodes, and their hidden vectors.
         x = self.features(ends).withColumnRenamed("x", "feature")
         sent = x.select(F.col("id").alias("src"), _message(first, "feature").alias("message"))
-        met = fresh.join(sent, "src")
-        added = _sums(met, first.in_width).join(fresh.groupBy(F.col("dst").alias("id")).agg(F.sum("n").alias("more")), "id")
+        met = fresh.join(shuffled(sent), "src")
+        more = fresh.groupBy(F.col("dst").alias("id")).agg(F.sum("n").alias("more"))
+        added = _sums(met, first.in_width).join(shuffled(more), "id")
         zero1, zero2 = zeros(first.in_width), zeros(second.in_width)
-        now = ends.join(known.withColumn("old", F.lit(True)), "id", "left").join(added, "id", "left").join(x, "id")
+        now = ends.join(shuffled(known.withColumn("old", F.lit(True))), "id", "left").join(shuffled(added), "id", "left").join(shuffled(x), "id")
         now = now.filter("old is null or more is not null")
         now = now.withColumns(
             {
@@ -149,19 +150,20 @@ class FreshEmbeddings:
         now = materialise(now.select("id", "n", "sum1", "h1", "before", "old"), "first_layer")
 
         # Second layer: new links bring the new hidden vectors, old ones the differences.
-        hidden = now.select("id", "h1").unionByName(known.join(now, "id", "left_anti").select("id", "h1"))
+        hidden = now.select("id", "h1").unionByName(known.join(shuffled(now), "id", "left_anti").select("id", "h1"))
         hidden = hidden.select(F.col("id").alias("src"), _message(second, "h1").alias("message"))
         moved = now.filter("old")
         leaving = self._links_from(moved, version)
         step = moved.select(F.col("id").alias("src"), _message(second, "h1").alias("_new"), _message(second, "before").alias("_old"))
         step = step.select("src", F.zip_with("_new", "_old", lambda a, b: a - b).alias("message"))
-        arriving = fresh.join(hidden, "src").select("dst", "n", "message")
-        arriving = arriving.unionByName(leaving.join(step, "src").select("dst", "n", "message"))
+        arriving = fresh.join(shuffled(hidden), "src").select("dst", "n", "message")
+        arriving = arriving.unionByName(leaving.join(shuffled(step), "src").select("dst", "n", "message"))
         added = materialise(_sums(arriving, second.in_width), "second_sums")
 
         touched = materialise(added.select("id").unionByName(now.select("id")).distinct(), "touched")
         changed = now.select("id", F.col("n").alias("_n"), F.col("sum1").alias("_sum1"), F.col("h1").alias("_h1"))
-        rows = touched.join(self._state(touched, version), "id", "left").join(changed, "id", "left").join(added, "id", "left")
+        rows = touched.join(shuffled(self._state(touched, version)), "id", "left")
+        rows = rows.join(shuffled(changed), "id", "left").join(shuffled(added), "id", "left")
         rows = rows.select(
             "id",
             F.coalesce("_n", "n").alias("n"),
@@ -175,7 +177,7 @@ class FreshEmbeddings:
         rows = materialise(rows.select("id", "n", "sum1", "h1", "sum2", out.alias("x")), "changed_state")
         self._write(fresh, "links", "src", version)
         if version % self.full == 0 and version:
-            rows = rows.unionByName(self._state(None, version).join(rows.select("id"), "id", "left_anti"))
+            rows = rows.unionByName(self._state(None, version).join(shuffled(rows.select("id")), "id", "left_anti"))
         self._write(rows, "state", "id", version)
 
 
@@ -191,7 +193,7 @@ def fresh_gold(
         batch = materialise(batch, "arrived")
         links = batch.select(F.col("src_id").alias("src"), F.col("dst_id").alias("dst"))
         fresh.add(links, batch_id, nodes if batch_id == 0 else None)
-        refined = refine_probability(predict_links(batch, fresh.embeddings(), fresh.model))
+        refined = refine_probability(predict_links(batch, shuffled(fresh.embeddings()), fresh.model))
         refined.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     query = (
