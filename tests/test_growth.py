@@ -1,8 +1,11 @@
 """Work that must not turn over, from broadcasts to shuffles or from scans to joins, as tables grow."""
 
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from linkloom.model import drawn_model
+from linkloom.operators import sampling
+from linkloom.plans.train import train_head
 from linkloom.session import materialise, scratch_path
 from linkloom.streaming import fresh
 
@@ -27,3 +30,13 @@ def test_fresh_embeddings_broadcast_no_table_of_nodes(spark, monkeypatch):
         state.add(links, version)
     assert not [p for p in plans if "BroadcastHashJoin" in p]
     assert state.embeddings().count() == 15
+
+
+def test_the_link_head_joins_alike_at_every_size(spark, monkeypatch):
+    plans = []
+    fit = LogisticRegression.fit
+    monkeypatch.setattr(LogisticRegression, "fit", lambda self, df: plans.append(plan_of(df)) or fit(self, df))
+    x = materialise(spark.range(20).select("id", F.array(F.rand(1), F.rand(2)).alias("x")), "x")
+    edges = spark.range(60).select(F.col("id").alias("eid"), (F.col("id") % 20).alias("src"), (F.col("id") * 7 % 20).alias("dst"))
+    train_head(x, sampling.label_and_stack(edges, sampling.negative_edges(edges, 20, 1, 7).drop("nth")))
+    assert "SortMergeJoin" in plans[0] and "BroadcastHashJoin" not in plans[0]
