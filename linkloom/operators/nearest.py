@@ -46,6 +46,11 @@ def _most_km(lat: Column, lon: Column, row: Column, col: Column, side: Column) -
     return middle + EARTH_KM * F.radians(side)
 
 
+def _within_reach() -> Column:
+    """Whether a cell that begins at ``least`` may hold one of the nearest, which lie within ``_reach``."""
+    return F.col("_reach").isNull() | (F.col("least") <= F.col("_reach") * (1 + 1e-9) + 1e-6)
+
+
 def provider_cells(points: DataFrame, crowd: int = CROWD, levels: int = LEVELS) -> list[DataFrame]:
     """For each level the cells ``(row, col, n, split)`` below split cells of the level above."""
     cells, inside = [], points
@@ -85,24 +90,29 @@ def nearest_providers(
 
     # The first level is one cell, and one more for places at 180 degrees of longitude.
     here = patients.select("_p", "_la", "_lo", F.lit(0).cast("long").alias("row"), F.explode(F.array(F.lit(0), F.lit(1))).alias("col"))
+    here = here.withColumn("_reach", F.lit(None).cast("double"))
     leaves = None
     by_reach = Window.partitionBy("_p").orderBy("most").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for level, cells in enumerate(provider_cells(points, crowd, levels)):
         side, at = F.lit(SIDE / 4**level), [F.col(c) for c in ("_la", "_lo", "row", "col")]
         met = here.join(cells, ["row", "col"]).withColumn("most", _most_km(*at, side)).withColumn("least", _least_km(*at, side))
-        met = met.select("*", F.lit(level).alias("level"))
-        known = met if leaves is None else met.unionByName(leaves)
+        # A cell holds what its parent held or less, so the parent's reach already rules cells out.
+        met = met.filter(_within_reach()).select("*", F.lit(level).alias("level"))
+        known = met if leaves is None else met.unionByName(leaves.filter(_within_reach()))
         # The reach that surely holds k providers; a cell that begins beyond it is of no use.
         summed = known.withColumn("_sum", F.sum("n").over(by_reach))
         reach = F.min(F.when(F.col("_sum") >= k, F.col("most"))).over(Window.partitionBy("_p"))
-        kept = summed.withColumn("_reach", reach).filter(F.col("_reach").isNull() | (F.col("least") <= F.col("_reach") * (1 + 1e-9) + 1e-6))
-        kept = materialise(kept.drop("_sum", "_reach"), "kept_cells")
+        kept = summed.withColumn("_reach", reach).filter(_within_reach())
+        kept = materialise(kept.drop("_sum"), "kept_cells")
         leaves = kept.filter("not split")
         deeper = F.explode(F.sequence(F.lit(0), F.lit(15))).alias("_q")
-        going = kept.filter("split").select("_p", "_la", "_lo", "row", "col", deeper)
+        going = kept.filter("split").select("_p", "_la", "_lo", "_reach", "row", "col", deeper)
         here = going.select(
-            "_p", "_la", "_lo", (F.col("row") * 4 + F.expr("_q div 4")).alias("row"), (F.col("col") * 4 + F.col("_q") % 4).alias("col")
+            "_p", "_la", "_lo", "_reach", (F.col("row") * 4 + F.expr("_q div 4")).alias("row"), (F.col("col") * 4 + F.col("_q") % 4).alias("col")
         )
+        # Judged before the cells are looked up, so those out of reach are not shipped.
+        below = [F.col(c) for c in ("_la", "_lo", "row", "col")]
+        here = here.withColumn("least", _least_km(*below, F.lit(SIDE / 4 ** (level + 1)))).filter(_within_reach()).drop("least")
     placed = None
     for level in range(levels + 1):
         of_level = points.select("ids", "lat", "lon", F.lit(level).alias("level"), *_cell(level, F.col("lat"), F.col("lon")))

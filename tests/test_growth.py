@@ -4,7 +4,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from linkloom.model import drawn_model
-from linkloom.operators import sampling
+from linkloom.operators import nearest, sampling
 from linkloom.plans.train import train_head
 from linkloom.session import materialise, scratch_path
 from linkloom.streaming import fresh
@@ -14,6 +14,23 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_cells_out_of_reach_are_dropped_before_they_are_looked_up(spark, monkeypatch):
+    kept = []
+
+    def written(df, label, *more):
+        out = materialise(df, label, *more)
+        if label == "kept_cells":
+            kept.append(plan_of(df))
+        return out
+
+    monkeypatch.setattr(nearest, "materialise", written)
+    at = lambda s: ((F.abs(F.hash("id", F.lit(s))) % 10_000) / 10_000.0)
+    providers = spark.range(300).select("id", (45 + at(1)).alias("lat"), (9 + at(2)).alias("lon"))
+    found = nearest.nearest_providers(providers.limit(40), providers, 2)
+    assert found.count() == 80 and found.filter("km = 0").count() == 40
+    assert all("_reach" in p[p.index("Join") :] for p in kept[1:])
+
+
 def test_fresh_embeddings_broadcast_no_table_of_nodes(spark, monkeypatch):
     plans = []
 
