@@ -1,10 +1,11 @@
 """Work that must not turn over, from broadcasts to shuffles or from scans to joins, as tables grow."""
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from linkloom.model import drawn_model
-from linkloom.operators import nearest, sampling
+from linkloom.operators import metrics, nearest, sampling
 from linkloom.plans.train import train_head
 from linkloom.session import materialise, scratch_path
 from linkloom.streaming import fresh
@@ -14,6 +15,15 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_corruptions_with_their_edge_score_need_no_join(spark):
+    pos = spark.range(50).select(F.col("id").alias("eid"), (F.col("id") % 2).alias("split"), (F.col("id") / 9 - 2).alias("score"))
+    neg = pos.withColumnRenamed("score", "edge_score").select("*", F.explode(F.array(F.lit(-1.0), F.lit(0.5))).alias("score"))
+    beside = metrics.margin_loss(pos, neg, ["split"])
+    looked_up = metrics.margin_loss(pos, neg.drop("edge_score"), ["split"])
+    assert "Join" not in plan_of(beside)
+    assert np.allclose(sorted(r.margin_loss for r in beside.collect()), sorted(r.margin_loss for r in looked_up.collect()))
+
+
 def test_cells_out_of_reach_are_dropped_before_they_are_looked_up(spark, monkeypatch):
     kept = []
 
