@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from linkloom.model import drawn_model
 from linkloom.operators import metrics, nearest, sampling
+from linkloom.plans import evaluate as ev
 from linkloom.plans.train import train_head
 from linkloom.session import materialise, scratch_path
 from linkloom.streaming import fresh
@@ -24,6 +25,21 @@ def test_corruptions_with_their_edge_score_need_no_join(spark):
     assert np.allclose(sorted(r.margin_loss for r in beside.collect()), sorted(r.margin_loss for r in looked_up.collect()))
 
 
+def test_step_metrics_move_scores_once(spark):
+    scores = materialise(
+        spark.range(400).select((F.col("id") % 4).alias("batch_id"), (F.col("id") % 3 == 0).cast("int").alias("label"), (F.col("id") % 7 / 7.0).alias("score")),
+        "scores",
+    )
+    found = ev.step_metrics(scores, "run")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        moved = [x for x in plan_of(ev.step_metrics(scores, "run")).splitlines() if "Exchange" in x and "Reused" not in x and "hashpartitioning" in x]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(moved) == 1
+    assert found.count() == 12
+
+
 def test_cells_out_of_reach_are_dropped_before_they_are_looked_up(spark, monkeypatch):
     kept = []
 
