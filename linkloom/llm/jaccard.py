@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from linkloom.llm.common import binaries, lower_ascii, mix, pieces, release_caches, table, window_hashes, word_hashes
 from linkloom.llm.components import components
+from linkloom.operators.ordering import running_totals
 from linkloom.session import materialise
 
 WIDTH, PERCENT = 5, 75
@@ -40,6 +41,8 @@ WIDTH, PERCENT = 5, 75
 BUCKET, CHUNK, BLOCK_SETS, BLOCK_SHINGLES = 2_000_000, 1_500_000, 500, 2_000_000
 #: Shares of all shingles; tokens with more than one are broadcast, fewer than this number.
 HEAVY = 100_000
+#: Bits for each wanted key and in all (8 MB), of the marks that rows are looked up in before a join.
+BITS_PER_KEY, MOST_BITS = 16, 1 << 26
 #: Weight of a probe against a merged element when lists are divided.
 MU = 0.0085
 SEEDS = (0x51ED270B, 0x2545F491, 0x9E3779B1, 0x7F4A7C15)
@@ -348,6 +351,22 @@ def least_hash(shingles: np.ndarray, seed: int) -> int:
 # The join
 
 
+def likely(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows whose ``key`` may be in ``wanted``: all that are, and some that are not.
+
+    Wide rows pass here before a join, which then shuffles few that it drops. A hash of each
+    wanted key sets a bit; the bits are broadcast, MOST_BITS at most, beyond which more rows pass.
+    """
+    bits = min(MOST_BITS, 1 << max(15, (BITS_PER_KEY * wanted.count()).bit_length()))
+    place = F.pmod(F.xxhash64(key), F.lit(bits)) + 1
+    marks = wanted.select(place.alias("_place")).groupBy(F.bitmap_bucket_number("_place").alias("_bucket"))
+    marks = marks.agg(F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bits"))
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = (F.bitmap_bucket_number(place) == F.col("_bucket")) & (F.getbit(byte, (at % 8).cast("int")) == 1)
+    return rows.join(F.broadcast(marks), marked, "left_semi")
+
+
 def gather_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """``(set_id, n, k0.., shingles)`` of the sets ``wanted(doc_id, set_id)``, each once."""
     keys = ", ".join(f"k{i} long" for i in range(len(SEEDS)))
@@ -364,7 +383,8 @@ def gather_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             if rows:
                 yield _set_batch(rows)
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id").select("doc_id", "text", "set_id")
+    rows = likely(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", wanted)
+    rows = rows.join(wanted, "doc_id").select("doc_id", "text", "set_id")
     found = rows.mapInArrow(run, f"set_id binary, n long, {keys}, shingles binary")
     return found
 
@@ -376,8 +396,8 @@ def _set_batch(rows):
 
 
 def _labelled(sets: DataFrame, found: DataFrame) -> DataFrame:
-    """Sets with their component; alone they are their own."""
-    named = found.withColumnRenamed("node", "set_id")
+    """Sets with their component; alone they are their own. Shuffled at every size: ``found`` grows with the input."""
+    named = found.withColumnRenamed("node", "set_id").hint("merge")
     return sets.join(named, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
 
 
@@ -506,9 +526,11 @@ def _explode_tokens(batches):
 _MEMBERS = "class binary, set_id binary, n long, size long, component binary, key long, cno long, shingles binary"
 
 
-def _classes(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def _classes(sets: DataFrame, ranks: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Sets of ``sets(no, cno, n, ..)`` folded by size and by the tokens that several components hold.
 
+    ``ranks(component, size, key)`` describes the components.
+
     Returns the members and the classes, whose ``shingles`` are just those tokens. Sets with too
     few of them for any link are left out. A class of one component keeps it, one of several is a
     component of its own.
@@ -517,7 +539,7 @@ def _classes(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     held = tokens.groupBy("token").agg(F.min("cno").alias("_a"), F.max("cno").alias("_b")).filter("_a <> _b")
     held = materialise(held.select("token"), "held")
     shared = tokens.join(held, "token").groupBy("no").agg(F.sort_array(F.collect_list("token")).alias("shared"))
-    shared = sets.drop("shingles").join(shared, "no").filter(F.size("shared") >= F.expr(f"({percent} * n + 99) div 100"))
+    shared = sets.drop("shingles").join(ranks, "component").join(shared, "no").filter(F.size("shared") >= F.expr(f"({percent} * n + 99) div 100"))
     names = [x.split()[0] for x in _MEMBERS.split(", ")]
 
     def run(batches):
@@ -550,22 +572,28 @@ def _between_components(sets: DataFrame, found: DataFrame, percent: int) -> Data
     apart from large ones. A class is searched for in the blocks that hold a token of its prefix
     in one of theirs and a component after its own; two linked classes always share one. Where a
     class links to itself or to another, its members of different components are linked.
+
+    Blocks are filled along the order of classes, so their number follows the classes and not the
+    partitions. A class goes to a block once, however many tokens lead there; with a passage common
+    to n classes that is n * n / BLOCK_SETS times at most, the pairs being compared in the tasks.
     """
-    labelled = _labelled(sets.select("set_id", "n", "k0", "shingles"), found)
-    total = labelled.agg(F.sum("n")).first()[0] or 0
+    total = sets.agg(F.sum("n")).first()[0] or 0
 
     def sets_of(batch):
         for name, shingles, c in zip(*(batch.column(i).to_pylist() for i in range(3))):
             yield name, int.from_bytes(c[:8], "little"), np.frombuffer(shingles, np.uint64)
 
-    open_sets = sets_shared_enough(labelled.select("set_id", "shingles", "component"), sets_of, total, percent)
-    left = materialise(labelled.join(open_sets, "set_id", "left_semi"), "open_sets")
-    if left.isEmpty():
+    labelled = _labelled(sets.select("set_id", "shingles"), found).select("set_id", "shingles", "component")
+    open_sets = materialise(sets_shared_enough(labelled, sets_of, total, percent), "open_ids")
+    if open_sets.isEmpty():
         return None
-    ranks = left.groupBy("component").agg(F.count("*").alias("size"), F.min("k0").alias("key"))
-    ranks = materialise(ranks.withColumn("cno", F.monotonically_increasing_id()), "ranks")
-    left = materialise(left.join(ranks, "component").withColumn("no", F.monotonically_increasing_id()), "ranked")
-    members, left = _classes(left, percent)
+    numbers = found.select("component").distinct().withColumn("cno", 2 * F.monotonically_increasing_id())
+    numbered = found.join(materialise(numbers, "numbers"), "component")
+    left = _labelled(likely(sets.select("set_id", "n", "k0", "shingles"), "set_id", open_sets), numbered)
+    left = left.join(open_sets.hint("merge"), "set_id", "left_semi").withColumn("no", F.monotonically_increasing_id())
+    left = materialise(left.withColumn("cno", F.coalesce("cno", 2 * F.col("no") + 1)), "open_sets")
+    ranks = materialise(left.groupBy("component").agg(F.count("*").alias("size"), F.min("k0").alias("key")), "ranks")
+    members, left = _classes(left, ranks, percent)
     firsts = members.groupBy("class", "component").agg(F.min("set_id").alias("b"))
     firsts = firsts.join(left.filter("several").select("class", F.col("set_id").alias("a")), "class").filter("a <> b")
     firsts = materialise(firsts.select("class", "a", "b"), "class_members")
@@ -574,35 +602,39 @@ def _between_components(sets: DataFrame, found: DataFrame, percent: int) -> Data
 
     n_open = left.agg(F.sum(F.expr("length(shingles) div 8"))).first()[0] or 0
     prefixes = materialise(_rare_prefixes(left, n_open, percent), "prefixes")
-    left = left.join(prefixes.select("no").distinct(), "no", "left_semi")
-    by = [F.col("size") > 1, "key", "size", "component", "set_id"]
-    laid = left.withColumn("part", F.lit(0).cast("long")).repartitionByRange(*by).sortWithinPartitions(*by)
+    most = BLOCK_SHINGLES // 8
+    weight = F.greatest(F.lit(most), F.expr(f"{BLOCK_SETS} * (length(shingles) div 8)").cast("long"))
+    order = ["large", "key", "size", "component", "set_id"]
+    order_of = left.withColumns({"large": F.col("size") > 1, "weight": weight}).select("no", *order, "weight")
+    order_of = order_of.join(prefixes.select("no").distinct(), "no", "left_semi")
+    part = F.floor(F.col("weight_before") / (BLOCK_SETS * most)).alias("part")
+    parts = running_totals(order_of, [], order, ["weight"]).select("no", part)
+    laid = left.join(materialise(parts, "parts"), "no").repartition("part").sortWithinPartitions("part", "set_id")
     blocks = materialise(_pack(laid), "blocks")
 
-    def members(batches):
+    def held_in(batches):
         for batch in batches:
-            for block, size, component, names in zip(*(c.to_pylist() for c in batch.columns)):
-                k = len(names) // 16
+            for block, names in zip(*(c.to_pylist() for c in batch.columns)):
                 ids = pa.array([names[i : i + 16] for i in range(0, len(names), 16)], pa.binary())
-                columns = [ids, pa.array([block] * k), pa.array([size] * k), pa.array([component] * k, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["set_id", "block", "high_size", "high_component"])
+                yield pa.RecordBatch.from_arrays([ids, pa.array([block] * len(ids))], ["set_id", "block"])
 
-    held = blocks.select("block", "high_size", "high_component", "names")
-    held = held.mapInArrow(members, "set_id binary, block long, high_size long, high_component binary")
-    held = held.join(left.select("no", "set_id"), "set_id").drop("set_id").join(prefixes, "no")
-    held = materialise(held.select("token", "block", "high_size", "high_component").distinct(), "held_blocks")
+    held = blocks.select("block", "names").mapInArrow(held_in, "set_id binary, block long")
+    held = held.join(left.select("no", "set_id"), "set_id").join(prefixes, "no")
+    held = materialise(held.select("token", "block").distinct(), "held_blocks")
     # Tokens that lead to the same blocks are one route, told by what their blocks mix to.
     mixed = [F.bit_xor(F.xxhash64(F.lit(seed), "block")) for seed in (1, 2)]
     route = F.struct(F.count("*").alias("n"), mixed[0].alias("x"), mixed[1].alias("y"))
     routes = materialise(held.groupBy("token").agg(route.alias("route")), "routes")
-    held = materialise(held.join(routes, "token").select("route", "block", "high_size", "high_component").distinct(), "route_blocks")
+    highs = blocks.select("block", F.struct("high_size", "high_component").alias("high"))
+    ways = held.join(routes, "token").select("route", "block").distinct().join(highs, "block").groupBy("route")
+    ways = materialise(ways.agg(F.collect_list("block").alias("blocks"), F.max("high").alias("high")), "route_blocks")
     asked = prefixes.join(routes, "token").select("no", "route").distinct()
-    asked = asked.join(left.select("no", "set_id", "size", "component"), "no")
-    same = F.col("size") == F.col("high_size")
-    smaller = (F.col("size") < F.col("high_size")) | (same & (F.col("component") < F.col("high_component")))
-    routed = asked.join(held, "route").filter(smaller).select("set_id", F.col("block").alias("part")).distinct()
-    routed = materialise(routed, "routed")
-    queries = routed.join(left.select("set_id", "size", "component", "shingles", "n"), "set_id")
+    asked = asked.join(left.select("no", F.struct("size", "component").alias("own")), "no")
+    asked = asked.join(ways, "route").filter("own < high").groupBy("no", "own")
+    asked = asked.agg(F.array_distinct(F.flatten(F.collect_list("blocks"))).alias("blocks"))
+    routed = asked.select("no", "own", F.explode("blocks").alias("block")).join(highs, "block").filter("own < high")
+    routed = materialise(routed.select("no", F.col("block").alias("part")), "routed")
+    queries = routed.join(left.select("no", "set_id", "size", "component", "shingles", "n"), "no")
     queries = _pack(queries.repartitionByRange("part", "set_id").sortWithinPartitions("part", "set_id"))
 
     def search(batches):
